@@ -178,7 +178,9 @@ def clip_half_plane(ring: Column, axis: str, limit: Column, keep_above: bool) ->
         )
 
     kept = F.flatten(F.transform(ring_edges(ring), cut))
-    return F.when(F.size(kept) > 0, F.concat(F.slice(kept, -1, 1), kept)).otherwise(kept)
+    # a one-element array names the vertices, so that they are computed once
+    closed = F.transform(F.array(kept), lambda k: F.when(F.size(k) > 0, F.concat(F.slice(k, -1, 1), k)).otherwise(k))
+    return closed[0]
 
 
 def _number(c: Column) -> Column:

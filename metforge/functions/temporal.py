@@ -22,20 +22,27 @@ def naive(t: Column) -> Column:
     return t.cast("timestamp_ntz")
 
 
+def _epoch() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+
+
+def _one_micro() -> Column:
+    return F.expr("INTERVAL '0 00:00:00.000001' DAY TO SECOND")
+
+
 def micros(t: Column) -> Column:
     """Microseconds since 1970-01-01, independent of the session zone."""
-    t = naive(t)
-    of_day = (F.hour(t) * 3600 + F.minute(t) * 60).cast("bigint") * SECOND_US
-    seconds = (F.extract(F.lit("SECOND"), t) * SECOND_US).cast("bigint")
-    return F.unix_date(t.cast("date")).cast("bigint") * DAY_US + of_day + seconds
+    return F.call_function("div", naive(t) - _epoch(), _one_micro())
 
 
 def from_micros(us: Column) -> Column:
     """Inverse of :func:`micros`."""
-    day = F.floor(us / F.lit(DAY_US)).cast("int")
-    second = (F.pmod(us, F.lit(DAY_US)).cast("decimal(18,0)") / F.lit(SECOND_US)).cast("decimal(18,6)")
-    zero = F.lit(0)
-    return F.date_from_unix_date(day).cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, second)
+    return _epoch() + _one_micro() * us
+
+
+def floor_to(us: Column, width: int) -> Column:
+    """Largest multiple of ``width`` not above ``us``, in integers."""
+    return us - F.pmod(us, F.lit(width))
 
 
 def midnight(t: Column) -> Column:
@@ -153,8 +160,8 @@ def decode_offset(offset: Column, units: Column, calendar: Column) -> Column:
     since = naive(F.regexp_extract(units, r"since\s+(.+)$", 1))
     per_unit = F.when(units.startswith("hours"), F.lit(HOUR_US)).otherwise(F.lit(DAY_US))
     in_day = F.rint(offset * per_unit).cast("bigint") + (micros(since) - micros(midnight(since)))
-    days = F.floor(in_day / F.lit(DAY_US)).cast("int")
-    second = F.floor(F.pmod(in_day, F.lit(DAY_US)) / F.lit(SECOND_US)).cast("int")
+    days = F.call_function("div", floor_to(in_day, DAY_US), F.lit(DAY_US)).cast("int")
+    second = F.call_function("div", F.pmod(in_day, F.lit(DAY_US)), F.lit(SECOND_US)).cast("int")
 
     greg = F.date_add(since.cast("date"), days)
     n365 = noleap_day_number(since) + days

@@ -9,6 +9,7 @@ one row per (group, partition).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -123,7 +124,7 @@ def next_in_time(df: DataFrame, keys: Sequence[str], time: str, name: str, bucke
     The window is per (keys, time bucket), so a long series is spread over its buckets;
     the last row of a bucket takes the head of the next one that has rows.
     """
-    bucket = F.floor(temporal.micros(F.col(time)) / F.lit(bucket_hours * temporal.HOUR_US))
+    bucket = temporal.floor_to(temporal.micros(F.col(time)), bucket_hours * temporal.HOUR_US)
     rows = df.withColumn("_bucket", bucket)
     heads = rows.groupBy(*keys, "_bucket").agg(F.min(time).alias("_head"))
     following = F.lead("_head").over(W.partitionBy(*keys).orderBy("_bucket"))
@@ -137,40 +138,38 @@ def next_in_time(df: DataFrame, keys: Sequence[str], time: str, name: str, bucke
     )
 
 
-def nearest_value(points: DataFrame, axis: DataFrame, coordinate: str, name: str) -> DataFrame:
-    """For each row of ``points`` the closest value of ``axis`` (a one-column table).
+def nearest_values(points: DataFrame, axes: dict[str, DataFrame], names: dict[str, str]) -> DataFrame:
+    """``points`` with, per coordinate column, the closest value of its axis (a one-column table).
 
-    Ties go to the larger axis value.  Points and axis are merged in one sorted order;
-    the neighbours on either side come from the partition itself or from the partition
-    summary, so no pairs are formed and crowded coordinates do no harm.
+    Ties go to the larger axis value.  Coordinates and axis values are merged in one
+    sorted order; the neighbours on either side come from the partition itself or from
+    the partition summary, so no pairs are formed and crowded coordinates do no harm.
     """
-    axis_col = axis.columns[0]
-    both = (
-        points.select(F.col(coordinate).cast("double").alias("_c"))
-        .where(F.col("_c").isNotNull())
-        .distinct()
-        .withColumn("_axis", F.lit(None).cast("double"))
-        .unionByName(
-            axis.select(F.col(axis_col).cast("double").alias("_c")).distinct().withColumn("_axis", F.col("_c"))
-        )
-    )
-    rows = range_sorted(both, ["_c"])
-    by_place = W.partitionBy(PART).orderBy("_c")
-    summary = rows.groupBy(PART).agg(F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi"))
-    parts = W.orderBy(PART)
-    edges = summary.select(
+    parts = []
+    for column, axis in axes.items():
+        wanted = points.select(F.col(column).cast("double").alias("_c")).where(F.col("_c").isNotNull()).distinct()
+        marks = axis.select(F.col(axis.columns[0]).cast("double").alias("_c")).distinct()
+        for table, value in ((wanted, F.lit(None).cast("double")), (marks, F.col("_c"))):
+            parts.append(table.select(F.lit(column).alias("_name"), "_c", value.alias("_axis")))
+    merged = reduce(DataFrame.unionByName, parts)
+    rows = range_sorted(merged, ["_name", "_c"])
+    in_part = W.partitionBy(PART, "_name").orderBy("_c")
+    across = W.partitionBy("_name").orderBy(PART)
+    # one row per axis and partition
+    edges = rows.groupBy("_name", PART).agg(F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi")).select(
+        "_name",
         PART,
-        F.max("_hi").over(parts.rowsBetween(W.unboundedPreceding, -1)).alias("_hi_before"),
-        F.min("_lo").over(parts.rowsBetween(1, W.unboundedFollowing)).alias("_lo_after"),
+        F.max("_hi").over(across.rowsBetween(W.unboundedPreceding, -1)).alias("_hi_before"),
+        F.min("_lo").over(across.rowsBetween(1, W.unboundedFollowing)).alias("_lo_after"),
     )
     # range frames put equal coordinates in one peer group, so an exact hit is its own neighbour
-    below = F.max("_axis").over(by_place.rangeBetween(W.unboundedPreceding, W.currentRow))
-    above = F.min("_axis").over(by_place.rangeBetween(W.currentRow, W.unboundedFollowing))
+    below = F.max("_axis").over(in_part.rangeBetween(W.unboundedPreceding, W.currentRow))
+    above = F.min("_axis").over(in_part.rangeBetween(W.currentRow, W.unboundedFollowing))
     snapped = (
         rows.withColumn("_below", below)
         .withColumn("_above", above)
         .where(F.col("_axis").isNull())
-        .join(F.broadcast(edges), PART)
+        .join(F.broadcast(edges), ["_name", PART])
         .withColumn("_below", F.coalesce("_below", "_hi_before"))
         .withColumn("_above", F.coalesce("_above", "_lo_after"))
     )
@@ -181,6 +180,10 @@ def nearest_value(points: DataFrame, axis: DataFrame, coordinate: str, name: str
         .when(closer_below, F.col("_below"))
         .otherwise(F.col("_above"))
     )
-    mapping = snapped.select(F.col("_c").alias("_coordinate"), choice.alias(name))
-    keyed = points.withColumn("_coordinate", F.col(coordinate).cast("double"))
-    return lookup_join(keyed, materialize(mapping), "_coordinate", "left").drop("_coordinate")
+    mapping = materialize(snapped.select("_name", F.col("_c").alias("_coordinate"), choice.alias("_nearest")))
+    out = points
+    for column in axes:
+        side = mapping.where(F.col("_name") == column).select("_coordinate", F.col("_nearest").alias(names[column]))
+        keyed = out.withColumn("_coordinate", F.col(column).cast("double"))
+        out = lookup_join(keyed, side, "_coordinate", "left").drop("_coordinate")
+    return out

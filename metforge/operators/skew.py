@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from metforge.session import materialize
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+# estimates ignore compression and the fan-out of explode (at most about 100 keys here)
+ESTIMATE_MARGIN = 256
 HEAVY_SHARE = 1000  # a key is heavy when it holds more than 1/1000 of the rows
 
 
@@ -32,7 +34,9 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= limit
+    """Whether the rows fit; the planner's estimate decides only where it is far below the limit."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return estimate * ESTIMATE_MARGIN <= limit or measured_bytes(df) <= limit
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", share: int = HEAVY_SHARE) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from metforge.functions import geometry as geo
 from metforge.functions.labels import cell_label
-from metforge.operators.ordering import nearest_value
+from metforge.operators.ordering import nearest_values
 from metforge.operators.skew import lookup_join
 from metforge.session import materialize
 
@@ -182,14 +182,14 @@ def nearest_cells(
         lat0, dlat, lon0, dlon = grid
         snap = lambda c, origin, step: F.floor((F.col(c) - origin) / step + 0.5) * F.lit(step) + F.lit(origin)
         return points.withColumn("cell_lat", snap(lat, lat0, dlat)).withColumn("cell_lon", snap(lon, lon0, dlon))
-    with_lat = nearest_value(points, cells.select(lat).distinct(), lat, "cell_lat")
-    return nearest_value(with_lat, cells.select(lon).distinct(), lon, "cell_lon")
+    axes = {lat: cells.select(lat), lon: cells.select(lon)}
+    return nearest_values(points, axes, {lat: "cell_lat", lon: "cell_lon"})
 
 
 def sample_points(points: DataFrame, cells: DataFrame, gid: str = "gid", grid: tuple[float, float, float, float] | None = None) -> DataFrame:
     """Cell rows at the nearest cell of each point, with the point's id."""
     snapped = nearest_cells(points.select(gid, "lat", "lon"), cells, grid=grid)
-    side = materialize(snapped.select(gid, F.col("cell_lat").alias("lat"), F.col("cell_lon").alias("lon")))
+    side = snapped.select(gid, F.col("cell_lat").alias("lat"), F.col("cell_lon").alias("lon"))
     return lookup_join(cells, side, ["lat", "lon"])
 
 
@@ -198,8 +198,9 @@ def effective_geometries(geoms: DataFrame, covered: DataFrame, gid: str = "gid")
 
     ``covered`` is the ``(cell_id, gid)`` table of cells with valid data.
     """
-    counts = materialize(covered.groupBy(gid).agg(F.count(F.lit(1)).alias("n_cells")))
-    joined = lookup_join(geoms, counts, gid, "left").withColumn("n_cells", F.coalesce("n_cells", F.lit(0)))
+    counts = covered.groupBy(gid).agg(F.count(F.lit(1)).alias("n_cells"))
+    # ids are unique on both sides
+    joined = geoms.join(counts, gid, "left").withColumn("n_cells", F.coalesce("n_cells", F.lit(0)))
     empty = (F.col("geom_type") != "Point") & (F.col("n_cells") == 0)
     centre = F.array(F.array(geo.centroid(geo.edges(F.col("rings")))))
     return joined.withColumn("rings", F.when(empty, centre).otherwise(F.col("rings"))).withColumn(

@@ -84,16 +84,16 @@ def date_batches(intervals: DataFrame, start: str, end: str, years: int = 5, key
 
 def _bin_start(df: DataFrame, keys: Sequence[str], time: str, hours: int) -> DataFrame:
     """Add ``_bin``: start of the ``hours``-wide bin, counted from midnight of the key's first day."""
-    width = F.lit(hours * temporal.HOUR_US)
+    width = hours * temporal.HOUR_US
     us = temporal.micros(F.col(time))
     if 24 % hours == 0:  # every midnight is a bin edge, whatever the first day
-        return df.withColumn("_bin", temporal.from_micros(F.floor(us / width) * width))
+        return df.withColumn("_bin", temporal.from_micros(temporal.floor_to(us, width)))
     names = list(keys) or ["_all"]
     df = df if keys else df.withColumn("_all", F.lit(0))
     first = materialize(df.groupBy(*names).agg(F.min(time).alias("_first")))
     origin = temporal.micros(temporal.midnight(F.col("_first")))
     out = lookup_join(df, first, names).withColumn(
-        "_bin", temporal.from_micros(origin + F.floor((us - origin) / width) * width)
+        "_bin", temporal.from_micros(origin + temporal.floor_to(us - origin, width))
     )
     return out.drop("_first", "_all")
 
@@ -149,9 +149,22 @@ def resample_pick(
     calendar: str = "standard",
     on_duplicate: str = "error",
 ) -> DataFrame:
-    """Coarser axis from the bins, values as observed exactly at the bin starts."""
-    axis = time_axis(df, keys, time, values, hours, calendar)
-    return reindex(drop_leap_days(df, time, calendar), axis, keys, time, values, on_duplicate)
+    """Coarser axis from the bins, values as observed exactly at the bin starts.
+
+    The bins are those of :func:`resample_mean`; a bin whose start was not observed has
+    nulls.  Both come out of one aggregate, without joining the axis to the rows.
+    """
+    single = unique_rows(drop_leap_days(df, time, calendar), keys, time, values, on_duplicate)
+    binned = _bin_start(single, keys, time, hours)
+    at_start = F.col(time) == F.col("_bin")
+    picked = binned.groupBy(*keys, F.col("_bin").alias("_start")).agg(
+        *[F.max(F.when(at_start, F.col(v))).alias(v) for v in values],
+        *[F.count(v).alias(f"_n_{v}") for v in values],
+    )
+    # a mean exists when the bin has a value
+    for v in values:
+        picked = picked.where(F.col(f"_n_{v}") > 0)
+    return picked.select(*keys, F.col("_start").alias(time), *values)
 
 
 def with_dtime(

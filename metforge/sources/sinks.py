@@ -51,9 +51,11 @@ def climate_long(df: DataFrame, path: str) -> bool:
     return True
 
 
-def catalogue_outputs(df: DataFrame, path: str) -> None:
-    """One Parquet folder per data set of the catalogue."""
-    columns = ["variable_id", "source_id", "experiment_id", "member_id"]
+DATASET = ("variable_id", "source_id", "experiment_id", "member_id")
+
+
+def catalogue_outputs(df: DataFrame, path: str, columns: Sequence[str] = DATASET) -> None:
+    """One Parquet folder per data set of the catalogue, or per coarser ``columns``."""
     _spread(df, columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 

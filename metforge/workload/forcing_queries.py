@@ -327,7 +327,7 @@ SELECT variable, count(*) AS n, round(avg(x - y), 6) AS bias, round(sqrt(avg((x
 FROM a JOIN b USING (variable, time) GROUP BY variable"""
 )
 def compare_sources(spark, sf):
-    hour = temporal.from_micros(F.floor(temporal.micros(F.col("ts")) / temporal.HOUR_US) * temporal.HOUR_US)
+    hour = temporal.from_micros(temporal.floor_to(temporal.micros(F.col("ts")), temporal.HOUR_US))
     events = views.table(spark, sf, "events").withColumn("time", hour)
     other = F.when(F.col("event_type") == "view", "UVIEW").otherwise(F.col("event_type"))
     left = events.select(F.col("event_type").alias("variable"), "time", "value")

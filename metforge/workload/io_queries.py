@@ -121,15 +121,15 @@ def _packed_check(spark, sf, layout):
         "zone",
         "dataset",
         temporal.stamp(F.col("time")).alias("time"),
-        rounded("dtime", 9).alias("dtime"),
-        rounded(value, 3).alias("value"),
+        rounded("dtime").alias("dtime"),
+        rounded(value, 5).alias("value"),
     )
 
 
 CHECK = """ SELECT l.gid, l.variable, CAST(l.zone AS INTEGER) AS zone,
  'ERA5_' || l.variable || '_' || CAST(y0 AS VARCHAR) || '-' || CAST(y1 AS VARCHAR) || '_z' || lpad(CAST(l.zone AS VARCHAR), 2, '0') AS dataset,
- strftime(l.time, '%Y-%m-%d %H:%M:%S') AS time, round(date_diff('microsecond', o.t0, l.time) / 86400000000e0, 9) AS dtime,
- round(round_even((value - add_offset) / scale_factor, 0) * scale_factor + add_offset, 3) + 0e0 AS value
+ strftime(l.time, '%Y-%m-%d %H:%M:%S') AS time, round(date_diff('microsecond', o.t0, l.time) / 86400000000e0, 6) AS dtime,
+ round(round_even((value - add_offset) / scale_factor, 0) * scale_factor + add_offset, 5) + 0e0 AS value
 FROM long l JOIN params p USING ({by}) JOIN origin o USING ({since}), bounds"""
 
 
@@ -220,7 +220,7 @@ def climate_long_file(spark, sf):
 @query("SELECT source_id, variable_id, experiment_id, member_id, zstore FROM catalogue WHERE variable_id = 'view'", ("catalogue",))
 def catalogue_outputs(spark, sf):
     path = scratch_path(spark, "outputs")
-    sinks.catalogue_outputs(views.catalogue(spark, sf), path)
+    sinks.catalogue_outputs(views.catalogue(spark, sf), path, ["variable_id", "experiment_id"])
     back = spark.read.parquet(path).where(F.col("variable_id") == "view")
     return back.select(F.col("source_id").cast("string").alias("source_id"), "variable_id", "experiment_id", "member_id", "zstore")
 

@@ -107,12 +107,12 @@ def first_time_rows(spark, sf):
 
 def _axis_sql(divisor: str, unit: str, table: str) -> str:
     return f"""WITH t AS (SELECT gid, time, min(time) OVER (PARTITION BY gid) AS t0 FROM {table})
-SELECT gid, {STAMP.format(c='time')} AS time, round(date_diff('microsecond', t0, time) / {divisor}, 9) AS dtime,
+SELECT gid, {STAMP.format(c='time')} AS time, round(date_diff('microsecond', t0, time) / {divisor}, 6) AS dtime,
  '{unit} since ' || {STAMP.format(c='t0')} AS dtime_units FROM t"""
 
 
 def _axis(df):
-    return df.select("gid", temporal.stamp(F.col("time")).alias("time"), rounded("dtime", 9).alias("dtime"), "dtime_units")
+    return df.select("gid", temporal.stamp(F.col("time")).alias("time"), rounded("dtime").alias("dtime"), "dtime_units")
 
 
 @query(_axis_sql("86400000000e0", "days", "series"), ("series",))

@@ -21,7 +21,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def rounded(c: Column | str, digits: int = 6) -> Column:
     """Rounded for comparison between engines; adding 0.0 turns -0.0 into 0.0."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, digits) + F.lit(0.0)
+    scale = float(10**digits)
+    return F.rint(c * scale) / scale + F.lit(0.0)
 
 
 def day_hours(hours: Column) -> Column:
@@ -189,20 +190,36 @@ def cell_series(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# polygons: centre between lattice points; even ones reach 2.6 from it, odd ones hold no lattice point
+# polygons around centres off the lattice: even ones reach 2.5 from theirs, odd ones hold no lattice point
 SQL["zones"] = """
-SELECT CAST(s_suppkey AS VARCHAR) AS gid, (s_suppkey // 5) * 2 + 3.5e0 AS cx, (s_suppkey % 5) * 8 + 3.5e0 AS cy,
-       CASE WHEN s_suppkey % 2 = 0 THEN 2.6e0 ELSE 0.3e0 END AS h FROM supplier
+SELECT CAST(s_suppkey AS VARCHAR) AS gid,
+       (s_suppkey // 5) * 2 + CASE WHEN s_suppkey % 2 = 0 THEN 3.4e0 ELSE 3.3e0 END AS cx,
+       (s_suppkey % 5) * 8 + CASE WHEN s_suppkey % 2 = 0 THEN 3.4e0 ELSE 3.3e0 END AS cy,
+       CASE WHEN s_suppkey % 2 = 0 THEN 2.5e0 ELSE 0.25e0 END AS h FROM supplier
 """
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("s_suppkey")
+    shift = F.when(k % 2 == 0, 3.4).otherwise(3.3)
     return table(spark, sf, "supplier").select(
         k.cast("string").alias("gid"),
-        (F.floor(k / 5) * 2 + 3.5).alias("cx"),
-        ((k % 5) * 8 + 3.5).alias("cy"),
-        F.when(k % 2 == 0, 2.6).otherwise(0.3).alias("h"),
+        (F.floor(k / 5) * 2 + shift).alias("cx"),
+        ((k % 5) * 8 + shift).alias("cy"),
+        F.when(k % 2 == 0, 2.5).otherwise(0.25).alias("h"),
+    )
+
+
+# points on halves of the lattice step, so that many lie midway between two axis values
+SQL["points"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS gid, (s_suppkey % 83) / 2e0 AS py, ((s_suppkey * 7) % 91) / 2e0 AS px FROM supplier
+"""
+
+
+def points(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    return table(spark, sf, "supplier").select(
+        k.cast("string").alias("gid"), ((k % 83) / 2.0).alias("lat"), (((k * 7) % 91) / 2.0).alias("lon")
     )
 
 
