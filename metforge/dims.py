@@ -108,47 +108,78 @@ NON_NEGATIVE = [
 # aspect classes: start, end (degrees, half open, may wrap), code
 ASPECT_CLASSES = [(270.0, 90.0, "N"), (90.01, 269.99, "S")]
 
-# hourly reanalysis bands by unit
-BANDS_BY_UNIT = {
-    "K": [
-        "dewpoint_temperature_2m", "temperature_2m", "skin_temperature", "soil_temperature_level_1",
-        "soil_temperature_level_2", "soil_temperature_level_3", "soil_temperature_level_4",
-        "lake_bottom_temperature", "lake_ice_temperature", "lake_mix_layer_temperature",
-        "lake_total_layer_temperature", "temperature_of_snow_layer",
-    ],
-    "m": [
-        "lake_ice_depth", "lake_mix_layer_depth", "potential_evaporation", "runoff", "sub_surface_runoff",
-        "surface_runoff", "total_precipitation", "potential_evaporation_hourly", "runoff_hourly",
-        "sub_surface_runoff_hourly", "surface_runoff_hourly", "total_precipitation_hourly",
-    ],
-    "m of water equivalent": [
-        "snow_depth_water_equivalent", "snowfall", "snowmelt", "skin_reservoir_content",
-        "evaporation_from_bare_soil", "evaporation_from_open_water_surfaces_excluding_oceans",
-        "evaporation_from_the_top_of_canopy", "evaporation_from_vegetation_transpiration",
-        "snow_evaporation", "total_evaporation", "snowfall_hourly", "snowmelt_hourly",
-        "evaporation_from_bare_soil_hourly", "evaporation_from_open_water_surfaces_excluding_oceans_hourly",
-        "evaporation_from_the_top_of_canopy_hourly", "evaporation_from_vegetation_transpiration_hourly",
-        "snow_evaporation_hourly", "total_evaporation_hourly",
-    ],
-    "J/m^2": [
-        "surface_latent_heat_flux", "surface_net_solar_radiation", "surface_net_thermal_radiation",
-        "surface_sensible_heat_flux", "surface_solar_radiation_downwards",
-        "surface_thermal_radiation_downwards", "surface_latent_heat_flux_hourly",
-        "surface_net_solar_radiation_hourly", "surface_net_thermal_radiation_hourly",
-        "surface_sensible_heat_flux_hourly", "surface_solar_radiation_downwards_hourly",
-        "surface_thermal_radiation_downwards_hourly",
-    ],
-    "Volume fraction": [
-        "volumetric_soil_water_layer_1", "volumetric_soil_water_layer_2",
-        "volumetric_soil_water_layer_3", "volumetric_soil_water_layer_4",
-    ],
-    "Area fraction": ["leaf_area_index_high_vegetation", "leaf_area_index_low_vegetation"],
-    "m/s": ["u_component_of_wind_10m", "v_component_of_wind_10m"],
-    "Pa": ["surface_pressure"],
-    "%": ["snow_cover"],
-    "kg/m^3": ["snow_density"],
-    None: ["lake_shape_factor", "snow_albedo", "forecast_albedo"],
-}
+# hourly reanalysis bands: name, units
+BAND_UNITS = [
+    ("dewpoint_temperature_2m", "K"),
+    ("temperature_2m", "K"),
+    ("skin_temperature", "K"),
+    ("soil_temperature_level_1", "K"),
+    ("soil_temperature_level_2", "K"),
+    ("soil_temperature_level_3", "K"),
+    ("soil_temperature_level_4", "K"),
+    ("lake_bottom_temperature", "K"),
+    ("lake_ice_depth", "m"),
+    ("lake_ice_temperature", "K"),
+    ("lake_mix_layer_depth", "m"),
+    ("lake_mix_layer_temperature", "K"),
+    ("lake_shape_factor", None),
+    ("lake_total_layer_temperature", "K"),
+    ("snow_albedo", None),
+    ("snow_cover", "%"),
+    ("snow_density", "kg/m^3"),
+    ("snow_depth", "m"),
+    ("snow_depth_water_equivalent", "m of water equivalent"),
+    ("snowfall", "m of water equivalent"),
+    ("snowmelt", "m of water equivalent"),
+    ("temperature_of_snow_layer", "K"),
+    ("skin_reservoir_content", "m of water equivalent"),
+    ("volumetric_soil_water_layer_1", "Volume fraction"),
+    ("volumetric_soil_water_layer_2", "Volume fraction"),
+    ("volumetric_soil_water_layer_3", "Volume fraction"),
+    ("volumetric_soil_water_layer_4", "Volume fraction"),
+    ("forecast_albedo", None),
+    ("surface_latent_heat_flux", "J/m^2"),
+    ("surface_net_solar_radiation", "J/m^2"),
+    ("surface_net_thermal_radiation", "J/m^2"),
+    ("surface_sensible_heat_flux", "J/m^2"),
+    ("surface_solar_radiation_downwards", "J/m^2"),
+    ("surface_thermal_radiation_downwards", "J/m^2"),
+    ("evaporation_from_bare_soil", "m of water equivalent"),
+    ("evaporation_from_open_water_surfaces_excluding_oceans", "m of water equivalent"),
+    ("evaporation_from_the_top_of_canopy", "m of water equivalent"),
+    ("evaporation_from_vegetation_transpiration", "m of water equivalent"),
+    ("potential_evaporation", "m"),
+    ("runoff", "m"),
+    ("snow_evaporation", "m of water equivalent"),
+    ("sub_surface_runoff", "m"),
+    ("surface_runoff", "m"),
+    ("total_evaporation", "m of water equivalent"),
+    ("u_component_of_wind_10m", "m/s"),
+    ("v_component_of_wind_10m", "m/s"),
+    ("surface_pressure", "Pa"),
+    ("total_precipitation", "m"),
+    ("leaf_area_index_high_vegetation", "Area fraction"),
+    ("leaf_area_index_low_vegetation", "Area fraction"),
+    ("snowfall_hourly", "m of water equivalent"),
+    ("snowmelt_hourly", "m of water equivalent"),
+    ("surface_latent_heat_flux_hourly", "J/m^2"),
+    ("surface_net_solar_radiation_hourly", "J/m^2"),
+    ("surface_net_thermal_radiation_hourly", "J/m^2"),
+    ("surface_sensible_heat_flux_hourly", "J/m^2"),
+    ("surface_solar_radiation_downwards_hourly", "J/m^2"),
+    ("surface_thermal_radiation_downwards_hourly", "J/m^2"),
+    ("evaporation_from_bare_soil_hourly", "m of water equivalent"),
+    ("evaporation_from_open_water_surfaces_excluding_oceans_hourly", "m of water equivalent"),
+    ("evaporation_from_the_top_of_canopy_hourly", "m of water equivalent"),
+    ("evaporation_from_vegetation_transpiration_hourly", "m of water equivalent"),
+    ("potential_evaporation_hourly", "m"),
+    ("runoff_hourly", "m"),
+    ("snow_evaporation_hourly", "m of water equivalent"),
+    ("sub_surface_runoff_hourly", "m"),
+    ("surface_runoff_hourly", "m"),
+    ("total_evaporation_hourly", "m of water equivalent"),
+    ("total_precipitation_hourly", "m"),
+]
 
 NATIVE_SCALE_M = 11132  # native pixel of the hourly reanalysis
 DEM_NATIVE_SCALE_M = 2
@@ -157,7 +188,7 @@ MODEL_STEP_S = 1800  # land-model time step
 
 SHORT_NAMES = {source: name for name, _, _, source, _ in VARIABLES if source}
 CLIMATE_SHORT_NAMES = {source: name for name, _, _, _, source in VARIABLES if source}
-BANDS = [band for bands in BANDS_BY_UNIT.values() for band in bands]
+BANDS = [name for name, _ in BAND_UNITS]
 
 
 def variables(spark: SparkSession) -> DataFrame:
@@ -183,5 +214,4 @@ def packing_ranges(spark: SparkSession) -> DataFrame:
 
 def bands(spark: SparkSession) -> DataFrame:
     """Built-in band catalogue; use :func:`metforge.sources.readers.band_catalogue` for a file."""
-    rows = [(b, unit) for unit, names in BANDS_BY_UNIT.items() for b in names]
-    return spark.createDataFrame(rows, "band_name string, units string")
+    return spark.createDataFrame(BAND_UNITS, "band_name string, units string")

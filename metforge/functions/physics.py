@@ -22,12 +22,15 @@ def wind_direction(u: Column, v: Column, fix_north: bool = False) -> Column:
     """Direction the wind blows from, in degrees.
 
     An angle of exactly 180 is reported as 180 for compatibility with existing
-    data sets; ``fix_north`` reports the due-north wind as 360 instead.
+    data sets, and as 0 when ``u`` is a negative zero; ``fix_north`` reports the
+    due-north wind as 360 instead.
     """
     angle = F.degrees(F.atan2(u, v))
     if fix_north:
         return angle + 180.0
-    return F.when(angle >= 180.0, angle).otherwise(angle + 180.0)
+    # atan2 here drops the sign of zero
+    minus_zero = (u == 0) & (v < 0) & u.cast("string").startswith("-")
+    return F.when(angle >= 180.0, F.when(minus_zero, F.lit(0.0)).otherwise(angle)).otherwise(angle + 180.0)
 
 
 def metres_per_hour_to_mm_per_second(c: Column) -> Column:

@@ -1,8 +1,7 @@
 """Positions in a total order, without sending a whole group to one task.
 
 The shared primitive is :func:`range_sorted`: the rows are range-partitioned by the
-full sort key and checkpointed, after which each row has a partition number and a
-place in it.  Everything that crosses partitions is then settled on a summary with
+full sort key and stored, after which each row has a partition number and a place in it.  Everything that crosses partitions is then settled on a summary with
 one row per (group, partition).
 """
 
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from metforge.functions import temporal
 from metforge.operators.skew import lookup_join
-from metforge.session import materialize
+from metforge.session import materialize, stored
 
 PART, PLACE = "_part", "_place"
 
@@ -29,9 +28,8 @@ def range_sorted(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
         .sortWithinPartitions(*order_by)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    stored = materialize(tagged)
     low = F.lit((1 << 33) - 1)
-    return stored.withColumn(PART, F.shiftright("_mid", 33).cast("int")).withColumn(
+    return stored(tagged, "sorted").withColumn(PART, F.shiftright("_mid", 33).cast("int")).withColumn(
         PLACE, F.col("_mid").bitwiseAND(low)
     ).drop("_mid")
 
@@ -52,7 +50,7 @@ def global_row_number(df: DataFrame, order_by: Sequence[str], name: str) -> Data
 
 def group_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
     """1-based position within ``keys``: the global position less the start of the group."""
-    rows = materialize(global_row_number(df, [*keys, *order_by], name))
+    rows = global_row_number(df, [*keys, *order_by], name)
     starts = rows.groupBy(*keys).agg(F.min(name).alias("_first"))
     return lookup_join(rows, starts, keys).withColumn(name, F.col(name) - F.col("_first") + 1).drop("_first")
 

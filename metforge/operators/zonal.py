@@ -13,6 +13,10 @@ from metforge.operators.skew import lookup_join
 from metforge.session import materialize
 
 
+# the map is joined to every hour, so a larger broadcast than usual pays off
+MAP_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
 def sampling_scale_m(requested: str | float) -> float:
     """``"native"`` or a pixel size in metres, never finer than the native one."""
     if requested == "native":
@@ -27,7 +31,8 @@ def zonal_mean(
 
     ``cell_map`` is ``(cell_id, gid, w)`` and does not depend on time.
     """
-    rows = lookup_join(series.select(cell_id, time, *bands), cell_map.select(cell_id, gid, "w"), cell_id)
+    side = cell_map.select(cell_id, gid, "w")
+    rows = lookup_join(series.select(cell_id, time, *bands), side, cell_id, limit=MAP_BROADCAST_BYTES)
     w = F.col("w")
     means = [
         F.try_divide(F.sum(w * F.col(b)), F.sum(F.when(F.col(b).isNotNull(), w))).alias(b) for b in bands

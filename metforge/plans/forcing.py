@@ -11,7 +11,7 @@ from metforge import dims
 from metforge.functions import codec, labels, physics, temporal
 from metforge.operators import packing, projection, sites, timeaxis
 from metforge.operators.skew import lookup_join
-from metforge.session import materialize
+from metforge.session import materialize, stored
 
 KEYS = ["LONGXY", "LATIXY", "time", "gid", "zone"]
 
@@ -111,7 +111,8 @@ def packed_dataset(
             timeaxis.drop_leap_days(ready, "time", options.calendar), ["gid"], "time", variables, options.on_duplicate
         )
     place = locations.select(F.col("gid").cast("string").alias("gid"), F.col("zone").cast("int").alias("zone"))
-    on_axis = lookup_join(on_axis, place, "gid")
+    # the one heavy shuffle; offsets, ranges and packing then read the stored columns they need
+    on_axis = stored(lookup_join(on_axis, place, "gid"), "on-axis")
     if layout == "site":
         by, timed = ["gid", "variable"], timeaxis.with_dtime(
             on_axis, ["gid"], "time", options.dtime_units, options.calendar, options.dtime_mode

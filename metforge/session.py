@@ -48,7 +48,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """A large intermediate as a table in the shared folder: columnar, and pruned when read."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: computed once, survives the loss of executors."""
+    """A small intermediate as a reliable checkpoint: computed once, survives the loss of executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

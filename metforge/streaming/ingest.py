@@ -39,8 +39,10 @@ def ingest(
     on the store afterwards.  The checkpoint makes each file count exactly once.
     """
     ready = model_ready(stream, locations, first_year, last_year, options).withColumn("year", F.year("time"))
+    # few files per site folder; a busy site is spread over its months
+    spread = ready.repartition("gid", "year", F.month("time"))
     return (
-        ready.writeStream.format("parquet")
+        spread.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .partitionBy("gid", "year")

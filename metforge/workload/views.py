@@ -26,8 +26,7 @@ def rounded(c: Column | str, digits: int = 6) -> Column:
 
 
 def day_hours(hours: Column) -> Column:
-    zero = F.lit(0)
-    return F.make_dt_interval(zero, hours, zero, zero)
+    return F.expr("INTERVAL '0 01:00:00' DAY TO SECOND") * hours
 
 
 SQL["sites"] = """
