@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metforge import dims
-from metforge.functions import codec
+from metforge.functions import codec, physics
 from metforge.operators.ordering import global_row_number
 from metforge.operators.skew import lookup_join
 from metforge.session import materialize
@@ -16,7 +16,8 @@ from metforge.session import materialize
 
 def packing_params(df: DataFrame, by: Sequence[str], value: str = "value", target: str = "int16") -> DataFrame:
     """``add_offset`` and ``scale_factor`` from the data range of each group."""
-    spans = df.groupBy(*by).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    clean = physics.nan_to_null(F.col(value))
+    spans = df.groupBy(*by).agg(F.min(clean).alias("low"), F.max(clean).alias("high"))
     return _with_params(spans, target)
 
 

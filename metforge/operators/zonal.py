@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metforge import dims
+from metforge.functions import physics
 from metforge.operators import spatial
 from metforge.operators.skew import lookup_join
-from metforge.session import materialize
+from metforge.session import materialize, stored
 
 
 # the map is joined to every hour, so a larger broadcast than usual pays off
@@ -34,12 +35,34 @@ def zonal_mean(
     side = cell_map.select(cell_id, gid, "w")
     rows = lookup_join(series.select(cell_id, time, *bands), side, cell_id, limit=MAP_BROADCAST_BYTES)
     w = F.col("w")
-    means = [
-        F.try_divide(F.sum(w * F.col(b)), F.sum(F.when(F.col(b).isNotNull(), w))).alias(b) for b in bands
-    ]
+    means = []
+    for b in bands:
+        v = physics.nan_to_null(F.col(b))
+        means.append(F.try_divide(F.sum(w * v), F.sum(F.when(v.isNotNull(), w))).alias(b))
     return rows.groupBy(gid, time).agg(*means)
 
 
+def coarsening(scale_m: float) -> int:
+    """Native pixels per side of a pixel of the given size."""
+    return max(1, round(scale_m / dims.NATIVE_SCALE_M))
+
+
+def coarsen(
+    series: DataFrame, cells: DataFrame, bands: Sequence[str], factor: int, resolution: float, time: str = "time", cell_id: str = "cell_id"
+) -> tuple[DataFrame, DataFrame]:
+    """``(series, cells)`` on blocks of ``factor`` x ``factor`` cells: the mean of the cells with data."""
+    width = resolution * factor
+    row, col = F.floor(F.col("lat") / width), F.floor(F.col("lon") / width)
+    block = F.concat_ws("_", row.cast("string"), col.cast("string"))
+    members = cells.select(cell_id, block.alias("_block"))
+    centres = cells.select(
+        block.alias(cell_id), ((row + 0.5) * width).alias("lat"), ((col + 0.5) * width).alias("lon")
+    ).distinct()
+    rows = lookup_join(series.select(cell_id, time, *bands), members, cell_id, limit=MAP_BROADCAST_BYTES)
+    means = rows.groupBy(F.col("_block").alias(cell_id), time).agg(*[F.avg(physics.nan_to_null(F.col(b))).alias(b) for b in bands])
+    return means, centres
+
+
 def sampling_map(
     cells: DataFrame, geoms: DataFrame, resolution: float = 1.0, weights: str = "centre",
     grid: tuple[float, float, float, float] | None = None,
@@ -52,7 +75,7 @@ def sampling_map(
     """
     if weights not in ("centre", "overlap"):
         raise ValueError("weights must be 'centre' or 'overlap'")
-    covered = materialize(spatial.cells_in_polygons(cells, geoms, resolution=resolution))
+    covered = stored(spatial.cells_in_polygons(cells, geoms, resolution=resolution), "covered")
     effective = materialize(spatial.effective_geometries(geoms, covered))
     if weights == "overlap":
         kept = effective.where(F.col("geom_type") != "Point").select("gid", "geom_type", "rings")
@@ -65,4 +88,4 @@ def sampling_map(
     at_points = spatial.sample_points(points, cells.select("cell_id", "lat", "lon"), grid=grid).select(
         "cell_id", "gid", F.lit(1.0).alias("w")
     )
-    return materialize(by_area.unionByName(at_points)), effective
+    return stored(by_area.unionByName(at_points), "cell-map"), effective

@@ -23,6 +23,7 @@ class SampleRequest:
     resolution: float = 0.1
     weights: str = "centre"
     grid: tuple[float, float, float, float] | None = None
+    scale: str | float = "native"
 
 
 def batches(series: DataFrame, request: SampleRequest) -> list[tuple[dt.date, dt.date]]:
@@ -40,11 +41,15 @@ def sample_zonal(series: DataFrame, cells: DataFrame, geoms: DataFrame, request:
 
     ``series`` is ``(cell_id, time, bands...)``, ``cells`` has one row per cell.  The cell
     to geometry map is made once and joined to all hours; ``batch`` names the export
-    file ``<job>_<start>_<end>``.
+    file ``<job>_<start>_<end>``.  A ``scale`` coarser than the native pixel samples block means.
     """
     bands = projection.resolve_bands(request.bands, None if isinstance(request.bands, str) else series.columns)
     parts = batches(series, request)
-    cell_map, effective = zonal.sampling_map(cells, geoms, request.resolution, request.weights, request.grid)
+    factor, resolution, grid = zonal.coarsening(zonal.sampling_scale_m(request.scale)), request.resolution, request.grid
+    if factor > 1:
+        series, cells = zonal.coarsen(series, cells, bands, factor, resolution)
+        resolution, grid = resolution * factor, None
+    cell_map, effective = zonal.sampling_map(cells, geoms, resolution, request.weights, grid)
     places = spatial.locations(effective)
     t = F.col("time")
     label = F.when(F.lit(False), F.lit(""))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from metforge import dims
 from metforge.functions import geometry as geo
 from metforge.functions import temporal
+from metforge.functions.physics import nan_to_null
 from metforge.operators import projection
 
 
@@ -32,7 +33,7 @@ def hourly_csv(spark: SparkSession, path: str, id_col: str | None = None) -> Dat
         .csv(path)
     )
     table = projection.with_gid(raw, id_col)
-    bands = [F.col(c).cast("double").alias(c) for c in table.columns if c not in ("gid", "date")]
+    bands = [nan_to_null(F.col(c).cast("double")).alias(c) for c in table.columns if c not in ("gid", "date")]
     return table.select("gid", temporal.naive(F.col("date")).alias("date"), *bands)
 
 

@@ -24,16 +24,19 @@ def zonal_csv(df: DataFrame, path: str) -> None:
 
 
 def site_store(df: DataFrame, path: str, time: str = "time") -> None:
-    """Per-site Parquet, split by year and sorted by time."""
-    rows = df.withColumn("year", F.year(time))
-    _spread(rows, ["gid", "year"]).sortWithinPartitions("gid", "year", time).write.mode("overwrite").partitionBy("gid", "year").parquet(path)
+    """Parquet with one folder per site, sorted by time."""
+    _spread(df, ["gid"]).sortWithinPartitions("gid", time).write.mode("overwrite").partitionBy("gid").parquet(path)
 
 
 def packed_dataset(values: DataFrame, metadata: DataFrame, path: str, layout: str = "site") -> None:
-    """``<path>/values`` partitioned per data set and ``<path>/metadata``."""
-    columns = ["gid", "variable", "zone"] if layout == "site" else ["variable", "zone"]
-    rows = _spread(values, [*columns, "time"] if layout == "grid" else columns)
-    rows.sortWithinPartitions(*columns, "time").write.mode("overwrite").partitionBy(*columns).parquet(f"{path}/values")
+    """``<path>/values`` and ``<path>/metadata``.
+
+    ``site`` has one folder per site with its variables one after the other, which keeps the
+    number of files at that of the sites; ``grid`` has one per variable and zone.
+    """
+    columns = ["gid"] if layout == "site" else ["variable", "zone"]
+    order = ["gid", "variable", "time"] if layout == "site" else ["variable", "zone", "time", "gid"]
+    _spread(values, columns).sortWithinPartitions(*order).write.mode("overwrite").partitionBy(*columns).parquet(f"{path}/values")
     metadata.write.mode("overwrite").parquet(f"{path}/metadata")
 
 
@@ -51,6 +54,7 @@ def climate_long(df: DataFrame, path: str) -> bool:
     return True
 
 
+MAX_COLUMNS = 2000
 DATASET = ("variable_id", "source_id", "experiment_id", "member_id")
 
 
@@ -101,7 +105,10 @@ def features(df: DataFrame, path: str, properties: Sequence[str], file_format: s
 
 def stats(df: DataFrame, path: str) -> None:
     """Statistics in the wide form that :func:`metforge.sources.readers.reference_stats` reads."""
-    names = sorted(r[0] for r in df.select("variable").distinct().collect())  # a few dozen names
+    found = df.select("variable").distinct().limit(MAX_COLUMNS + 1).collect()
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} variables cannot be the columns of one table")
+    names = sorted(r[0] for r in found)
     long = df.unpivot(["variable"], ["mean", "min", "max"], "stat", "_v")
     wide = long.groupBy("stat").agg(*[F.max(F.when(F.col("variable") == n, F.col("_v"))).alias(n) for n in names])
     wide.coalesce(1).write.mode("overwrite").option("header", True).csv(path)  # three rows

@@ -38,14 +38,14 @@ def ingest(
     Year bounds and packing need the whole data set: the bounds are given, packing runs
     on the store afterwards.  The checkpoint makes each file count exactly once.
     """
-    ready = model_ready(stream, locations, first_year, last_year, options).withColumn("year", F.year("time"))
-    # few files per site folder; a busy site is spread over its months
-    spread = ready.repartition("gid", "year", F.month("time"))
+    ready = model_ready(stream, locations, first_year, last_year, options)
+    # few files per site folder; a busy site is spread over its years
+    spread = ready.repartition("gid", F.year("time"))
     return (
         spread.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("gid", "year")
+        .partitionBy("gid")
         .trigger(availableNow=True)
         .start()
     )

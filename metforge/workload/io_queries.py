@@ -70,14 +70,14 @@ def stream_ingest(spark, sf):
 
 
 @query(
-    f"SELECT gid, {STAMP.format(c='time')} AS time, round(TBOT, 6) AS TBOT, CAST(year(time) AS INTEGER) AS year FROM station WHERE gid IN ('1', '3', '7')",
+    f"SELECT gid, {STAMP.format(c='time')} AS time, round(TBOT, 6) AS TBOT FROM station",
     ("station",),
 )
 def site_store(spark, sf):
     path = scratch_path(spark, "sites")
     sinks.site_store(views.station(spark, sf), path)
-    kept = readers.site_store(spark, path, ["1", "3", "7"])
-    return kept.select("gid", temporal.stamp(F.col("time")).alias("time"), rounded("TBOT").alias("TBOT"), "year")
+    kept = readers.site_store(spark, path)
+    return kept.select("gid", temporal.stamp(F.col("time")).alias("time"), rounded("TBOT").alias("TBOT"))
 
 
 def _packed(spark, sf, layout):

@@ -19,10 +19,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def rounded(c: Column | str, digits: int = 6) -> Column:
-    """Rounded for comparison between engines; adding 0.0 turns -0.0 into 0.0."""
+    """Rounded half away from zero, for comparison between engines; adding 0.0 turns -0.0 into 0.0."""
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10**digits)
-    return F.rint(c * scale) / scale + F.lit(0.0)
+    return F.signum(c) * F.floor(F.abs(c) * scale + 0.5) / scale + F.lit(0.0)
 
 
 def day_hours(hours: Column) -> Column:
