@@ -217,11 +217,11 @@ def climate_long_file(spark, sf):
     ).csv(path)
 
 
-@query("SELECT source_id, variable_id, experiment_id, member_id, zstore FROM catalogue WHERE variable_id = 'view'", ("catalogue",))
+@query("SELECT source_id, variable_id, experiment_id, member_id, zstore FROM catalogue", ("catalogue",))
 def catalogue_outputs(spark, sf):
     path = scratch_path(spark, "outputs")
     sinks.catalogue_outputs(views.catalogue(spark, sf), path, ["variable_id", "experiment_id"])
-    back = spark.read.parquet(path).where(F.col("variable_id") == "view")
+    back = spark.read.parquet(path)
     return back.select(F.col("source_id").cast("string").alias("source_id"), "variable_id", "experiment_id", "member_id", "zstore")
 
 
