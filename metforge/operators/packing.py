@@ -21,6 +21,31 @@ def packing_params(df: DataFrame, by: Sequence[str], value: str = "value", targe
     return _with_params(spans, target)
 
 
+def wide_params(df: DataFrame, by: Sequence[str], variables: Sequence[str], time: str, target: str = "int16") -> DataFrame:
+    """One row per group: ``first`` stamp and, per variable, a struct ``(add_offset, scale_factor)``.
+
+    All variables and the time origin come out of one pass over the wide rows.
+    """
+    spans = [f(physics.nan_to_null(F.col(v))).alias(f"_{n}_{v}") for v in variables for n, f in (("lo", F.min), ("hi", F.max))]
+    grouped = df.groupBy(*by).agg(F.min(time).alias("first"), *spans)
+    pair = lambda lo, hi: F.struct(
+        codec.add_offset(lo, hi, target).alias("add_offset"), codec.scale_factor(lo, hi, target).alias("scale_factor")
+    )
+    return grouped.select(*by, "first", *[pair(F.col(f"_lo_{v}"), F.col(f"_hi_{v}")).alias(f"_p_{v}") for v in variables])
+
+
+def pack_wide(df: DataFrame, params: DataFrame, by: Sequence[str], variables: Sequence[str], target: str = "int16") -> DataFrame:
+    """Every variable replaced by its packed integers; ``first`` is added.  One join serves all variables."""
+    packed = {v: codec.pack(F.col(v), F.col(f"_p_{v}.add_offset"), F.col(f"_p_{v}.scale_factor"), target) for v in variables}
+    return lookup_join(df, params, by).withColumns(packed).drop(*[f"_p_{v}" for v in variables])
+
+
+def long_params(params: DataFrame, by: Sequence[str], variables: Sequence[str]) -> DataFrame:
+    """``(by, first, variable, add_offset, scale_factor)`` from :func:`wide_params`."""
+    rows = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"_p_{v}").alias("p")) for v in variables])
+    return params.select(*by, "first", F.explode(rows).alias("_r")).select(*by, "first", "_r.variable", "_r.p.*")
+
+
 def preset_params(df: DataFrame, variable: str = "variable", target: str = "int16") -> DataFrame:
     """The same from the fixed range of each variable present in ``df``."""
     ranges = _with_params(dims.packing_ranges(df.sparkSession), target).withColumnRenamed("variable", variable)

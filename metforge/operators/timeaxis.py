@@ -167,10 +167,10 @@ def resample_pick(
     return picked.select(*keys, F.col("_start").alias(time), *values)
 
 
-def with_dtime(
-    df: DataFrame, keys: Sequence[str], time: str, units: str = "days", calendar: str = "standard", mode: str = "elapsed"
-) -> DataFrame:
-    """Add ``dtime`` (offset from each key's first stamp) and its ``dtime_units`` text.
+def dtime_columns(
+    time: Column, first: Column, units: str = "days", calendar: str = "standard", mode: str = "elapsed"
+) -> dict[str, Column]:
+    """``dtime`` (offset of ``time`` from ``first``) and its ``dtime_units`` text.
 
     ``elapsed`` counts real time even for data without leap days; ``calendar`` counts on
     the 365-day calendar when ``calendar`` is noleap.
@@ -179,16 +179,21 @@ def with_dtime(
         raise ValueError("units must be 'days' or 'hours'")
     if mode not in ("elapsed", "calendar"):
         raise ValueError("mode must be 'elapsed' or 'calendar'")
-    first = materialize(df.groupBy(*keys).agg(F.min(time).alias("_first")))
     shorter = mode == "calendar" and not temporal.keeps_leap_day(calendar)
     measure = temporal.elapsed_noleap if shorter else temporal.elapsed
-    since = F.concat(F.lit(f"{units} since "), temporal.stamp(F.col("_first")))
-    return (
-        lookup_join(df, first, keys)
-        .withColumn("dtime", measure(F.col(time), F.col("_first"), units))
-        .withColumn("dtime_units", since)
-        .drop("_first")
-    )
+    return {
+        "dtime": measure(time, first, units),
+        "dtime_units": F.concat(F.lit(f"{units} since "), temporal.stamp(first)),
+    }
+
+
+def with_dtime(
+    df: DataFrame, keys: Sequence[str], time: str, units: str = "days", calendar: str = "standard", mode: str = "elapsed"
+) -> DataFrame:
+    """Add the offset from each key's first stamp; see :func:`dtime_columns`."""
+    added = dtime_columns(F.col(time), F.col("_first"), units, calendar, mode)
+    first = materialize(df.groupBy(*keys).agg(F.min(time).alias("_first")))
+    return lookup_join(df, first, keys).withColumns(added).drop("_first")
 
 
 def time_steps(axis: DataFrame, keys: Sequence[str], time: str) -> DataFrame:

@@ -111,26 +111,19 @@ def packed_dataset(
             timeaxis.drop_leap_days(ready, "time", options.calendar), ["gid"], "time", variables, options.on_duplicate
         )
     place = locations.select(F.col("gid").cast("string").alias("gid"), F.col("zone").cast("int").alias("zone"))
-    # the one heavy shuffle; offsets, ranges and packing then read the stored columns they need
+    # the one heavy shuffle; one pass over the result gives origins and ranges, another packs
     on_axis = stored(lookup_join(on_axis, place, "gid"), "on-axis")
-    if layout == "site":
-        by, timed = ["gid", "variable"], timeaxis.with_dtime(
-            on_axis, ["gid"], "time", options.dtime_units, options.calendar, options.dtime_mode
-        )
-        since = ["gid"]
-    else:
-        by, timed = ["variable", "zone"], timeaxis.with_dtime(
-            on_axis, ["zone"], "time", options.dtime_units, options.calendar, options.dtime_mode
-        )
-        since = ["zone"]
-    long = projection.melt(timed, ["gid", "zone", "time", "dtime", "dtime_units"], variables)
-    params = materialize(packing.packing_params(long, by))
-    packed = packing.pack_table(long, by, params=params)
+    by = ["gid", "zone"] if layout == "site" else ["zone"]
+    params = materialize(packing.wide_params(on_axis, by, variables, "time"))
+    stamps = timeaxis.dtime_columns(
+        F.col("time"), F.col("first"), options.dtime_units, options.calendar, options.dtime_mode
+    )
+    packed = packing.pack_wide(on_axis, params, by, variables).withColumn("dtime", stamps["dtime"])
+    values = projection.melt(packed.select("gid", "zone", "time", "dtime", *variables), ["gid", "zone", "time", "dtime"], variables, value="packed")
 
-    units = timed.groupBy(*since, *(["zone"] if layout == "site" else [])).agg(F.first("dtime_units").alias("dtime_units"))
-    meta = packing.with_attributes(params.select(*by, "add_offset", "scale_factor").join(units, since)).select(
+    meta = packing.with_attributes(packing.long_params(params, by, variables)).select(
         *by,
-        *(["zone"] if layout == "site" else []),
+        "variable",
         labels.dataset_name(F.col("variable"), F.lit(first_year), F.lit(last_year), F.col("zone")).alias("dataset"),
         "add_offset",
         "scale_factor",
@@ -140,9 +133,9 @@ def packed_dataset(
         "long_name",
         F.lit("time-dependent").alias("mode"),
         F.lit(options.calendar).alias("calendar"),
-        "dtime_units",
+        stamps["dtime_units"].alias("dtime_units"),
     )
-    return packed.select("gid", "variable", "zone", "time", "dtime", "packed"), meta
+    return values.select("gid", "variable", "zone", "time", "dtime", "packed"), meta
 
 
 def site_table(locations: DataFrame) -> DataFrame:
