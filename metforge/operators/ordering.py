@@ -55,48 +55,114 @@ def group_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     return lookup_join(rows, starts, keys).withColumn(name, F.col(name) - F.col("_first") + 1).drop("_first")
 
 
+DIRECT_ROWS = 5_000_000  # up to here a full sort is cheaper than narrowing
+NARROW_GROUPS = 10_000  # above this, groups are small and sketches of them are not
+GRID = 256
+
+
 def order_statistics(
     df: DataFrame, group: Sequence[str], value: str, positions: Callable[[Column], dict[str, Column]]
 ) -> DataFrame:
     """Values at given 0-based positions of each group's sorted values, exactly.
 
-    ``positions`` maps the group's count to ``{output column: position}``.  Equal values
-    are combined first; only the partitions that hold a wanted position are scanned again.
+    ``positions`` maps the group's count to ``{output column: position}``.  Large inputs in
+    few groups are first narrowed to the neighbourhood of the wanted positions, so that
+    only about a hundredth of the rows per position is sorted.
     Result: ``group columns, n, output columns``.
     """
-    group = list(group)
-    keys = group or ["_all"]
-    if not group:
-        df = df.withColumn("_all", F.lit(0))
+    keys = list(group) or ["_all"]
+    df = df if group else df.withColumn("_all", F.lit(0))
     names = list(positions(F.lit(1)))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    rows = range_sorted(counts, [*keys, value])
+    clean = df.where(F.col(value).isNotNull()).select(*keys, value)
+    totals = materialize(clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    at = [F.struct(F.lit(k).alias("_name"), c.cast("bigint").alias("_pos")) for k, c in positions(F.col("n")).items()]
+    wanted = totals.select(*keys, F.explode(F.array(*at)).alias("_w")).select(*keys, "_w.*")
+    size = totals.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).first()
+
+    narrowed = None
+    if (size["rows"] or 0) > DIRECT_ROWS and size["groups"] <= NARROW_GROUPS:
+        narrowed = _narrow(clean, keys, value, totals, wanted, names)
+    rows, wanted = narrowed or (clean, wanted)
+
+    found = _pick(rows, keys, value, wanted)
+    out = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == k, F.col(value))).alias(k) for k in names])
+    out = totals.join(out, keys, "left")
+    return out if group else out.drop("_all")
+
+
+def _narrow(
+    clean: DataFrame, keys: Sequence[str], value: str, totals: DataFrame, wanted: DataFrame, names: Sequence[str]
+) -> tuple[DataFrame, DataFrame] | None:
+    """Rows near the wanted positions, and the positions counted among those rows only.
+
+    A sketch gives an interval for each position.  Exact counts then say how many rows lie
+    below it; if an interval does not hold its position after all, None is returned.
+    """
+    v = F.col(value)
+    grid = F.percentile_approx(v, [i / GRID for i in range(GRID + 1)], 10_000)
+    sketch = clean.groupBy(*keys).agg(grid.alias("_q")).join(totals, list(keys))
+    step = F.floor(F.col("_pos") * GRID / F.col("n")).cast("int")
+    low = F.when(step >= 2, F.element_at("_q", step))
+    high = F.when(step + 3 <= GRID, F.element_at("_q", step + 4))
+    spans = wanted.join(sketch, list(keys)).withColumn("_lo", low).withColumn("_hi", high)
+    # one row per group: an open end is null
+    side = materialize(
+        spans.groupBy(*keys).agg(
+            *[
+                F.max(F.when(F.col("_name") == k, F.col(c))).alias(f"{c}_{k}")
+                for k in names
+                for c in ("_pos", "_lo", "_hi")
+            ]
+        )
+    )
+    below = lambda k: F.coalesce(v < F.col(f"_lo_{k}"), F.lit(False))
+    above = lambda k: F.coalesce(v > F.col(f"_hi_{k}"), F.lit(False))
+    joined = lookup_join(clean, side, list(keys))
+    near = reduce(lambda x, y: x | y, [~below(k) & ~above(k) for k in names])
+    counts = materialize(
+        joined.groupBy(*keys).agg(
+            *[F.count_if(below(k)).alias(f"_b_{k}") for k in names],
+            *[F.count_if(~above(k)).alias(f"_u_{k}") for k in names],
+            *[F.count_if(below(k) & ~near).alias(f"_x_{k}") for k in names],
+        )
+    ).join(side, list(keys))
+    holds = [(F.col(f"_pos_{k}") >= F.col(f"_b_{k}")) & (F.col(f"_pos_{k}") < F.col(f"_u_{k}")) for k in names]
+    if not counts.where(~reduce(lambda x, y: x & y, holds)).isEmpty():
+        return None
+    moved = F.array(
+        *[F.struct(F.lit(k).alias("_name"), (F.col(f"_pos_{k}") - F.col(f"_x_{k}")).alias("_pos")) for k in names]
+    )
+    return joined.where(near).select(*keys, value), counts.select(*keys, F.explode(moved).alias("_w")).select(*keys, "_w.*")
+
 
+def _pick(df: DataFrame, keys: Sequence[str], value: str, wanted: DataFrame) -> DataFrame:
+    """``(keys, _name, value)`` at the positions of ``wanted`` (``keys, _name, _pos``).
+
+    Equal values are combined before the sort; only partitions that hold a wanted
+    position are read again.
+    """
+    keys = list(keys)
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    rows = range_sorted(counts, [*keys, value])
     earlier = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
     summary = (
         rows.groupBy(*keys, PART)
         .agg(F.sum("_n").alias("_part_n"))
         .withColumn("_before", F.coalesce(F.sum("_part_n").over(earlier), F.lit(0)))
-        .withColumn("n", F.sum("_part_n").over(W.partitionBy(*keys)))
     )
-    wanted = (
-        summary.withColumn(
-            "_want",
-            F.explode(F.array(*[F.struct(F.lit(k).alias("name"), c.cast("bigint").alias("pos")) for k, c in positions(F.col("n")).items()])),
-        )
-        .withColumn("_local", F.col("_want.pos") - F.col("_before"))
-        .where((F.col("_local") >= 0) & (F.col("_local") < F.col("_part_n")))
-        .select(*keys, PART, "n", F.col("_want.name").alias("_name"), "_local")
+    local = F.col("_pos") - F.col("_before")
+    located = (
+        summary.join(wanted, keys)
+        .where((local >= 0) & (local < F.col("_part_n")))
+        .select(*keys, PART, "_name", local.alias("_local"))
     )
     running = F.sum("_n").over(W.partitionBy(*keys, PART).orderBy(PLACE).rowsBetween(W.unboundedPreceding, 0))
-    hit = rows.join(wanted.select(*keys, PART).distinct(), [*keys, PART], "left_semi").withColumn("_through", running)
-    found = hit.join(wanted, [*keys, PART]).where(
-        (F.col("_local") < F.col("_through")) & (F.col("_local") >= F.col("_through") - F.col("_n"))
-    )
-    out = found.groupBy(*keys, "n").agg(
-        *[F.max(F.when(F.col("_name") == k, F.col(value))).alias(k) for k in names]
+    hit = rows.join(located.select(*keys, PART).distinct(), [*keys, PART], "left_semi").withColumn("_through", running)
+    return (
+        hit.join(located, [*keys, PART])
+        .where((F.col("_local") < F.col("_through")) & (F.col("_local") >= F.col("_through") - F.col("_n")))
+        .select(*keys, "_name", value)
     )
-    return out if group else out.drop("_all")
 
 
 def quantiles(df: DataFrame, group: Sequence[str], value: str, probabilities: dict[str, float]) -> DataFrame:

@@ -7,10 +7,8 @@ from metforge.workload import ORACLES, QUERIES
 from oracle import compare, connect
 
 NAMES = [
-    "forcing_ready", "pack_values", "unpack_values", "pack_preset", "dense_index", "axis_check", "time_axis_days",
-    "resample_mean_uneven", "range_validation", "complete_models", "first_models", "nearest_cell", "point_samples",
-    "polygon_mask", "cells_in_polygon", "overlap_weights", "grid_intersects", "zonal_mean", "zonal_mean_overlap",
-    "coverage_fallback", "cells_by_id_list", "topounits_elev_aspect", "coarse_cells",
+    "forcing_ready", "pack_values", "dense_index", "axis_check", "resample_mean_uneven", "range_validation",
+    "complete_models", "point_samples", "polygon_mask", "grid_intersects", "zonal_mean", "topounits_elev_aspect",
 ]
 
 

@@ -35,6 +35,42 @@ def test_quantiles_match_numpy(spark, p):
         assert got[k] == pytest.approx(np.percentile(g["v"], p * 100), abs=1e-12)
 
 
+@pytest.mark.parametrize("spread", ["uniform", "ties", "one value", "heavy tail"])
+def test_narrowed_quantiles_match_numpy(spark, monkeypatch, spread):
+    monkeypatch.setattr(ordering, "DIRECT_ROWS", 0)
+    used = []
+    narrow = ordering._narrow
+    monkeypatch.setattr(ordering, "_narrow", lambda *a: used.append(narrow(*a)) or used[-1])
+    rng = np.random.default_rng(4)
+    n = 30_000
+    v = {
+        "uniform": rng.random(n),
+        "ties": rng.integers(0, 5, n).astype(float),
+        "one value": np.full(n, 3.0),
+        "heavy tail": np.exp(rng.normal(0, 4, n)) * rng.choice([-1, 1], n),
+    }[spread]
+    groups = np.where(rng.random(n) < 0.6, "hot", np.where(rng.random(n) < 0.999, "mid", "rare"))
+    import pandas as pd
+
+    pdf = pd.DataFrame({"k": groups, "v": v})
+    probs = {"a": 0.0, "b": 0.01, "c": 0.5, "d": 0.99, "e": 1.0}
+    got = {r["k"]: r for r in ordering.quantiles(spark.createDataFrame(pdf), ["k"], "v", probs).collect()}
+    for k, g in pdf.groupby("k"):
+        assert got[k]["n"] == len(g)
+        for name, p in probs.items():
+            assert got[k][name] == pytest.approx(np.percentile(g["v"], p * 100), rel=1e-12, abs=1e-12)
+    assert used[0] is not None
+    if spread == "uniform":
+        assert used[0][0].count() < n / 5
+
+
+def test_wrong_sketch_falls_back_to_the_full_sort(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "DIRECT_ROWS", 0)
+    monkeypatch.setattr(ordering.F, "percentile_approx", lambda c, p, a: F.array(*[F.lit(-1.0)] * len(p)))
+    df = spark.range(1000).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("v"))
+    assert ordering.quantiles(df, ["k"], "v", {"q": 0.5}).first()["q"] == 499.5
+
+
 def test_quantiles_without_group_ignore_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (2.0,), (4.0,)], "v double")
     assert tuple(ordering.quantiles(df, [], "v", {"q": 0.5}).first()) == (3, 2.0)

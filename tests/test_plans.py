@@ -1,4 +1,4 @@
-"""Shape of the physical plans."""
+"""Shape of the physical plans; nested loops and Python evaluation are ruled out in oracle.py."""
 
 import re
 
@@ -6,20 +6,10 @@ import pytest
 
 from metforge.workload import QUERIES
 
-PYTHON_EVAL = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
-
-
 def plan(spark, sf, name):
     return QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_pairs_and_no_python(spark, sf, name):
-    text = plan(spark, sf, name)
-    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", *PYTHON_EVAL):
-        assert bad not in text
-
-
 def test_only_needed_columns_are_read(spark, sf):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(spark, sf, "zonal_mean"))
     assert any(set(c.split(":")[0] for c in s.split(",")) == {"o_custkey", "o_orderdate", "o_totalprice"} for s in schemas)
