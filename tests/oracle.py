@@ -11,6 +11,7 @@ import duckdb
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
+DIGITS = int(os.environ.get("ORACLE_DIGITS", "12"))  # 17 compares every bit
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "float": "FLOAT",
     "string": "VARCHAR", "boolean": "BOOLEAN",
@@ -28,7 +29,7 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(f"{v:.12g}") + 0.0
+        return "nan" if math.isnan(v) else float(f"{v:.{DIGITS}g}") + 0.0
     return v
 
 
