@@ -6,10 +6,11 @@ A document's distinct shingles are hashed into groups.  Two things come of the g
   empty.  Similar sets differ in few shingles, each of which spoils one group at most, so
   among the first ``n // 3 + 1`` keys of either, in the order of their hashes, one is the same.  Documents whose groups
   are too few for that argument add the shingles of an ordinary prefix filter as keys.
-* The counts of ``GROUPS`` groups are a point.  The overlap of two sets is at most the sum of the
+* The counts of a coarser grouping are a point.  The overlap of two sets is at most the sum of the
   smaller coordinates, and that of all points in two boxes the same sum over the boxes' upper
   corners.  The documents of a key are packed into an R-tree, and pairs of boxes are descended as long as the
-  bound allows a link.
+  bound allows a link.  Larger sets have points of more coordinates, two to four shingles to each, as sets that
+  have nothing in common look alike in few; neighbouring coordinates add up to those of the next smaller resolution.
 
 Pairs that survive are joined to candidate components, inside which all shingles are compared
 exactly.  Equal sets are one class with one representative throughout.  Keys or components with many documents are
@@ -32,7 +33,8 @@ from metforge.operators.skew import lookup_join
 from metforge.session import stored
 
 SHINGLE = 5
-GROUPS = 64  # coordinates of a point
+COARSE = 16  # coordinates of the smallest points
+FULL = 255  # a count of this or more
 PERCENT = 75  # similarity that links; the arguments about keys below hold for 75 or more
 LEAF = 32  # points in a leaf of the tree, children of a node
 BLOCK = 4096  # documents of a key, or of a component, in one block
@@ -78,8 +80,24 @@ def _keys(sets: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def resolution(n: int) -> int:
+    """Binary digits of the number of coordinates for a set of ``n``."""
+    return max(COARSE.bit_length(), n.bit_length() - 1) - 1
+
+
 def point(sets: np.ndarray) -> np.ndarray:
-    return np.bincount((sets >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype("<u4")
+    bits = resolution(len(sets))
+    return np.minimum(np.bincount((sets >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), FULL).astype(np.uint8)
+
+
+def _at(points: list[np.ndarray], bits: int) -> np.ndarray:
+    """Points as rows of ``1 << bits`` counts; a full count is as good as any number."""
+    out = np.empty((len(points), 1 << bits), np.int32)
+    for i, p in enumerate(points):
+        wide = p.astype(np.int32)
+        wide[p == FULL] = 1 << 24
+        out[i] = wide.reshape(1 << bits, -1).sum(1) if len(p) > 1 << bits else wide
+    return out
 
 
 def _signatures(texts: list[bytes | None]) -> tuple:
@@ -162,17 +180,39 @@ class Tree:
                     stack.append((level - 1, x[i][keep], y[j][keep]))
 
 
-def _bucket(points: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
+def _bucket(points: list[np.ndarray], sizes: np.ndarray) -> list[tuple[int, int]]:
     """Links of a spanning forest over the pairs that may be similar."""
     forest = Forest(len(points))
-    for a, b in Tree(points, sizes).candidates():
-        for i in np.unique(a):
-            forest.join(int(i), b[a == i])
-        if forest.parts == 1:
-            break
+    bits = np.array([len(p).bit_length() - 1 for p in points])
+    for k in np.unique(bits):  # sizes of similar sets differ by a third at most, so resolutions by one step
+        own = np.flatnonzero(bits == k)
+        near = np.flatnonzero((bits == k + 1) & (PERCENT * sizes <= 100 * sizes[own].max()))
+        at = np.concatenate([own, near])
+        if len(at) < 2:
+            continue
+        for a, b in Tree(_at([points[i] for i in at], k), sizes[at]).candidates():
+            one = (a < len(own)) | (b < len(own))  # two of the finer resolution meet there
+            a, b = at[a[one]], at[b[one]]
+            for i in np.unique(a):
+                forest.join(int(i), b[a == i])
+            if forest.parts == 1:
+                return forest.links
     return forest.links
 
 
+def _pairs(points: list[np.ndarray], sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which of the buckets of two, at ``first`` and the next row, may be similar."""
+    size = np.array([len(p) for p in points])
+    low = np.minimum(size[first], size[first + 1])
+    out = np.zeros(len(first), bool)
+    for g in np.unique(low):
+        at = first[low == g]
+        bits = int(g).bit_length() - 1
+        bound = np.minimum(_at([points[i] for i in at], bits), _at([points[i + 1] for i in at], bits)).sum(1, dtype=np.int64)
+        out[low == g] = bound >= _need(sizes[at], sizes[at + 1])
+    return out
+
+
 def _exact(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links of a spanning forest over the pairs that are similar, from inverted lists of the shingles."""
     sizes = np.array([len(s) for s in sets])
@@ -207,15 +247,11 @@ def _grouped(df: DataFrame, keys: list[str], read: Callable, links: Callable) ->
     def flush(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(parts)
         ids = rows["doc_id"].to_numpy()
-        values = read(rows)
         marks = np.stack([rows[k].to_numpy() for k in keys])
         starts = np.flatnonzero(np.concatenate([[True], (marks[:, 1:] != marks[:, :-1]).any(0)]))
-        a, b = [], []
-        for s, e in zip(starts, [*starts[1:], len(ids)], strict=True):
-            for i, j in links([v[s:e] for v in values]) if e - s > 1 else ():
-                a.append(ids[s + i])
-                b.append(ids[s + j])
-        if a:
+        found = [(ids[i], ids[j]) for i, j in links(read(rows), np.append(starts, len(ids)))]
+        if found:
+            a, b = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,13 +289,31 @@ def _tiles(df: DataFrame, count: Column) -> DataFrame:
     return rows.withColumn("tile", tile).drop("_own", "_other", "_blocks")
 
 
-def _points(rows: pa.Table) -> list:
-    vec = np.frombuffer(b"".join(rows["vec"].to_pylist()), "<u4").reshape(-1, GROUPS)
-    return [vec, rows["n"].to_numpy()]
+def _maybe(rows: tuple[list[np.ndarray], np.ndarray], starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links of all buckets, given by the bounds of their rows."""
+    points, sizes = rows
+    length = np.diff(starts)
+    two = starts[:-1][length == 2]
+    if len(two):
+        for i in two[_pairs(points, sizes, two)]:
+            yield i, i + 1
+    for s, n in zip(starts[:-1][length > 2], length[length > 2], strict=True):
+        for i, j in _bucket(points[s : s + n], sizes[s : s + n]):
+            yield s + i, s + j
+
+
+def _points(rows: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    return [np.frombuffer(v, np.uint8) for v in rows["vec"].to_pylist()], rows["n"].to_numpy()
+
+
+def _sure(sets: list[np.ndarray], starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    for s, e in zip(starts[:-1], starts[1:], strict=True):
+        for i, j in _exact(sets[s:e]) if e - s > 1 else ():
+            yield s + i, s + j
 
 
-def _sets(rows: pa.Table) -> list:
-    return [[shingles(t) for t in rows["text"].cast(pa.binary()).to_pylist()]]
+def _sets(rows: pa.Table) -> list[np.ndarray]:
+    return [shingles(t) for t in rows["text"].cast(pa.binary()).to_pylist()]
 
 
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -286,14 +340,14 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     met = keyed.withColumn("count", F.count(F.lit(1)).over(per)).withColumn("bucket", bucket).where("count > 1")
     met = stored(met.select("bucket", "count", "doc_id").distinct(), "shingle-buckets")
     placed = lookup_join(met, sig.select("doc_id", "n", "vec").where("n > 0").dropDuplicates(["doc_id", "vec"]), "doc_id")
-    maybe = _grouped(_tiles(placed, F.col("count")), ["bucket", "count", "tile"], _points, lambda v: _bucket(v[0], v[1]))
+    maybe = _grouped(_tiles(placed, F.col("count")), ["bucket", "count", "tile"], _points, _maybe)
     near = stored(components(maybe), "shingle-candidates")
 
     # inside a candidate component everything is compared
     sized = near.groupBy("component").agg(F.count(F.lit(1)).alias("count"))
     near = stored(lookup_join(near, sized, "component").select(F.col("node").alias("doc_id"), "component", "count"), "shingle-members")
     members = lookup_join(rows.where("doc_id IS NOT NULL AND text IS NOT NULL"), near, "doc_id").distinct()
-    sure = _grouped(_tiles(members, F.col("count")), ["component", "tile"], _sets, lambda v: _exact(v[0]))
+    sure = _grouped(_tiles(members, F.col("count")), ["component", "tile"], _sets, _sure)
     linked = stored(components(sure), "shingle-components")
 
     # classes that have copies or links, then every document by its class
