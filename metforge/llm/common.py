@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -50,17 +51,37 @@ def add_columns(
     out_names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             made = fn(texts, *[batch.column(i).to_pylist() for i in others])
             arrays = [m if isinstance(m, pa.Array) else pa.array(m, type=k) for m, k in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *arrays], names=out_names)
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches under ``BATCH_BYTES``: texts are large, and each task holds several batches at a time."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(key).lower()).groups()
+    if int(number) << 10 * " kmgtp".index(unit or " ") > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
+SLICE = 512  # rows that are Python objects at one time
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in small pieces, so that what is made of the rows in between stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, SLICE):
+            yield batch.slice(first, SLICE)
+
+
 def hashed(words: Sequence[bytes]) -> np.ndarray:
     """64-bit hashes of words."""
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))

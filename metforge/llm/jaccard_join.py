@@ -180,8 +180,27 @@ class Tree:
                     stack.append((level - 1, x[i][keep], y[j][keep]))
 
 
+def _leaf(points: list[np.ndarray], sizes: np.ndarray) -> list[tuple[int, int]]:
+    """The same for points that fill one leaf at most: all bounds at once."""
+    bits = [len(p).bit_length() - 1 for p in points]
+    label, links = list(range(len(points))), []
+    for k in sorted(set(bits)):
+        at = [i for i, b in enumerate(bits) if k <= b <= k + 1]
+        x, n = _at([points[i] for i in at], k), sizes[at]
+        close = np.minimum(x[:, None], x[None]).sum(2, dtype=np.int64) >= _need(n[:, None], n[None])
+        for a, b in zip(*(c.tolist() for c in np.nonzero(np.triu(close, 1))), strict=True):
+            i, j = at[a], at[b]
+            if min(bits[i], bits[j]) == k and label[i] != label[j]:
+                links.append((i, j))
+                old, new = label[j], label[i]
+                label = [new if v == old else v for v in label]
+    return links
+
+
 def _bucket(points: list[np.ndarray], sizes: np.ndarray) -> list[tuple[int, int]]:
     """Links of a spanning forest over the pairs that may be similar."""
+    if len(points) <= LEAF:
+        return _leaf(points, sizes)
     forest = Forest(len(points))
     bits = np.array([len(p).bit_length() - 1 for p in points])
     for k in np.unique(bits):  # sizes of similar sets differ by a third at most, so resolutions by one step

@@ -9,7 +9,8 @@ as only equality matters.
 2. Anchors of equal digit are sorted by the next one, all bytes that a string over the anchor can have.
    In a group the first member keeps its strings, and those of the others are repeated, byte for byte.
 3. Where an anchor's group falls apart into several, the strings of each group's first member
-   are sorted by two digits, their first half and the whole: equal groups are exactly the repeated strings.
+   are sorted by what they hold: equal groups are exactly the repeated strings.  A group of
+   bounded size is sorted inside a task, from the bytes around its anchors; a larger one by Spark, string by string.
 
 Equal texts are found before as wholes.  Positions covered are merged as ranges.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from metforge.llm.common import add_columns, mixed, table
+from metforge.llm.common import ARROW, add_columns, mixed, slices, small_batches, table
 from metforge.operators.skew import lookup_join
 from metforge.session import stored
 
@@ -35,6 +36,7 @@ SPAN = LENGTH - GRAM + 1  # fingerprints in a string
 SAMPLE = 64  # one document in so many is looked at for digits that are everywhere
 HEAVY_SHARE = 0.02  # of the documents sampled
 SALTS = 64
+GROUP = 2048  # members that are sorted inside a task, at most
 LAST = (1 << 63) - 1  # order of a null id
 POS_BITS = 40
 
@@ -133,16 +135,93 @@ def _strings(ids: list[int], versions: list[int], texts: list[bytes], places: li
     return tuple(np.concatenate(p) if p else np.zeros(0, np.int64) for p in out)
 
 
+def _surroundings(ids: list[int], versions: list[int], texts: list[bytes], places: list[list[int]]) -> tuple:
+    """``id, pos, gram, left, bytes`` of the anchors at the places; ``left`` of the bytes lie before the anchor."""
+    one, _ = _rollers()
+    out: tuple[list, ...] = ([], [], [], [], [])
+    for i, v, t, at in zip(ids, versions, texts, places, strict=True):
+        p = np.array(at, np.int64)
+        grams = one.some(one.prefix(np.frombuffer(t, np.uint8)), p, p + GRAM).view(np.int64)
+        for x, g in zip(at, grams.tolist(), strict=True):
+            left = min(x, SPAN - 1)
+            for part, value in zip(out, (i, x + (v << POS_BITS), g, left, t[x - left : x + LENGTH]), strict=True):
+                part.append(value)
+    return out
+
+
+def _repeats(grams: np.ndarray, lefts: np.ndarray, around: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows with a string that an earlier row of the same anchor has, and what it covers, from the anchor's place.
+
+    Rows of one anchor are in order.  All strings of a row hold its anchor, so they cover one range.
+    """
+    one, _ = _rollers()
+    width = LENGTH + SPAN - 1
+    wide = np.zeros((len(around), width), np.uint8)
+    for row, left, b in zip(wide, lefts.tolist(), around, strict=True):
+        row[SPAN - 1 - left : SPAN - 1 - left + len(b)] = np.frombuffer(b, np.uint8)
+    one.grow(width + 1)
+    sums = np.zeros((len(around), width + 1), np.uint64)
+    np.cumsum(one.values[wide] * one.up[:width], axis=1, out=sums[:, 1:])
+    keys = (sums[:, LENGTH:] - sums[:, :SPAN]) * one.down[:SPAN]
+    keys = mixed(mixed(keys) + grams.view(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.arange(SPAN, dtype=np.uint64))
+    begins = SPAN - 1 - lefts.astype(np.int64)
+    ends = begins + np.array([len(b) for b in around])
+    start = np.arange(SPAN)[None, :]
+    real = (start >= begins[:, None]) & (start + LENGTH <= ends[:, None])
+    at = np.flatnonzero(real)
+    _, first = np.unique(keys.ravel()[at], return_index=True)
+    again = np.ones(len(at), bool)
+    again[first] = False
+    row, offset = np.divmod(at[again], SPAN)
+    rows, begin = np.unique(row, return_index=True)
+    last = np.append(begin[1:], len(row)) - 1
+    return rows, offset[begin] - (SPAN - 1), offset[last] - (SPAN - 1) + LENGTH if len(rows) else offset[:0]
+
+
+def _sorted_inside(df: DataFrame) -> DataFrame:
+    """``id, pos, from, upto`` of the anchors of ``df`` that cover repeated strings; a group is in one task."""
+
+    def flush(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(parts)
+        hit, low, high = _repeats(rows["gram"].to_numpy(), rows["left"].to_numpy(), rows["bytes"].to_pylist())
+        yield pa.RecordBatch.from_arrays([
+            rows["id"].combine_chunks().take(pa.array(hit)), rows["pos"].combine_chunks().take(pa.array(hit)), pa.array(low, pa.int64()), pa.array(high, pa.int64())
+        ], names=["id", "pos", "from", "upto"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            grams = batch.column(2).to_numpy()
+            if held and held[-1].column(2)[-1].as_py() != grams[0]:
+                yield from flush(held)
+                held = []
+            change = np.flatnonzero(grams[1:] != grams[:-1])
+            if len(change):
+                yield from flush([*held, batch.slice(0, int(change[-1]) + 1)])
+                held = [batch.slice(int(change[-1]) + 1)]
+            else:
+                held.append(batch)
+        if held:
+            yield from flush(held)
+
+    dealt = df.select("id", "pos", "gram", "left", "bytes").repartition("gram").sortWithinPartitions("gram", "id", "pos")
+    return dealt.mapInArrow(run, "id bigint, pos bigint, `from` bigint, upto bigint")
+
+
 def _flat(df: DataFrame, fn, schema: str, names: list[str]) -> DataFrame:
     """Rows made of each batch by ``fn`` of its columns (texts as bytes)."""
+    kinds = [ARROW[k.split()[-1]] for k in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             columns = [c.cast(pa.binary()) if pa.types.is_string(c.type) or pa.types.is_large_string(c.type) else c for c in batch.columns]
             made = fn(*[c.to_pylist() for c in columns])
             for at in range(0, len(made[0]), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + (1 << 16)]) for x in made], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + (1 << 16)], k) for x, k in zip(made, kinds, strict=True)], names=names)
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -176,16 +255,24 @@ def _ranges(rows: DataFrame) -> DataFrame:
     found = found.withColumn("first", F.min(place).over(W.partitionBy("gram", "salt", "context")))
     several = (F.col("low") != F.col("high")) | F.coalesce("heavy", F.lit(False))
     found = found.withColumn("again", place != F.col("first")).where(F.col("again") | several)
+    members = F.count(F.when(~F.col("again"), 1)).over(group)
+    found = found.withColumn("large", F.coalesce("heavy", F.lit(False)) | (members > GROUP))
     version, pos = _split(F.col("pos"))
-    found = stored(found.select("id", version.alias("version"), pos.alias("pos"), "again"), "anchors")
+    found = stored(found.select("id", version.alias("version"), pos.alias("pos"), "again", "large"), "anchors")
     around = found.where("again").select("id", "version", F.greatest(F.col("pos") - (SPAN - 1), F.lit(0)).alias("start"), (F.col("pos") + LENGTH).alias("end"))
-    places = stored(found.where("NOT again").groupBy("id", "version").agg(F.collect_set("pos").alias("places")), "anchor-places")
-    open_ = lookup_join(rows, places, ["id", "version"]).select("id", "version", "text", "places")
+    places = [
+        stored(found.where("NOT again").where(size).groupBy("id", "version").agg(F.collect_set("pos").alias("places")), "anchor-places")
+        for size in ("NOT large", "large")
+    ]
+    open_ = [lookup_join(rows, p, ["id", "version"]).select("id", "version", "text", "places") for p in places]
+    near = _flat(open_[0], _surroundings, "id bigint, pos bigint, gram bigint, left int, bytes binary", ["id", "pos", "gram", "left", "bytes"])
+    inside = _sorted_inside(near).select("id", version.alias("version"), (pos + F.col("from")).alias("start"), (pos + F.col("upto")).alias("end"))
     names = ["id", "pos", "half", "whole"]
-    strings = stored(_flat(open_, _strings, "id bigint, pos bigint, half bigint, whole bigint", names), "strings")
+    strings = stored(_flat(open_[1], _strings, "id bigint, pos bigint, half bigint, whole bigint", names), "strings")
     firsts = strings.groupBy("half", "whole").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     later = lookup_join(strings, stored(firsts, "string-firsts"), ["half", "whole"]).where(place != F.col("first"))
     later = later.select("id", version.alias("version"), pos.alias("start"), (pos + LENGTH).alias("end"))
+    around = around.unionByName(inside)
     return around.unionByName(later)
 
 
