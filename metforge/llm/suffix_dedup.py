@@ -36,7 +36,7 @@ SPAN = LENGTH - GRAM + 1  # fingerprints in a string
 SAMPLE = 64  # one document in so many is looked at for digits that are everywhere
 HEAVY_SHARE = 0.02  # of the documents sampled
 SALTS = 64
-GROUP = 2048  # members that are sorted inside a task, at most
+GROUP = 1 << 14  # members that are sorted inside a task, at most (under 3 KB each)
 LAST = (1 << 63) - 1  # order of a null id
 POS_BITS = 40
 
@@ -99,7 +99,10 @@ def _anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _first_digits(ids: list[int], versions: list[int], texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """``id, pos, gram, context`` of all anchors; a position has the number of the version above its low bits."""
+    """``id, pos, gram, context, known`` of all anchors; a position has the number of the version above its low bits.
+
+    An anchor that follows one of equal digits is known to be a repetition; it is dealt out by its place instead.
+    """
     _, two = _rollers()
     out: list[list[np.ndarray]] = [[], [], [], []]
     for i, v, t in zip(ids, versions, texts, strict=True):
@@ -111,8 +114,12 @@ def _first_digits(ids: list[int], versions: list[int], texts: list[bytes]) -> tu
         context = mixed(two.some(two.prefix(b), start, end) + (at - start).astype(np.uint64) * np.uint64(1 << 32) + (end - at).astype(np.uint64))
         for part, x in zip(out, (np.full(len(at), i, np.int64), at + (v << POS_BITS), grams[at].view(np.int64), context.view(np.int64)), strict=True):
             part.append(x)
-    empty = [np.zeros(0, np.int64)] * 4
-    return tuple(np.concatenate(p) if p else e for p, e in zip(out, empty, strict=True))
+    i, p, gram, context = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+    order = np.lexsort((p, i, context, gram))
+    g, c = gram[order], context[order]
+    known = np.zeros(len(order), bool)
+    known[order[1:]] = (g[1:] == g[:-1]) & (c[1:] == c[:-1])
+    return i, p, np.where(known, mixed((i * 31 + p).view(np.uint64)).view(np.int64), gram), context, known
 
 
 def _strings(ids: list[int], versions: list[int], texts: list[bytes], places: list[list[int]]) -> tuple[np.ndarray, ...]:
@@ -226,13 +233,13 @@ def _flat(df: DataFrame, fn, schema: str, names: list[str]) -> DataFrame:
 
 
 def _digits(rows: DataFrame) -> DataFrame:
-    return _flat(rows.select("id", "version", "text"), _first_digits, "id bigint, pos bigint, gram bigint, context bigint", ["id", "pos", "gram", "context"])
+    return _flat(rows.select("id", "version", "text"), _first_digits, "id bigint, pos bigint, gram bigint, context bigint, known boolean", ["id", "pos", "gram", "context", "known"])
 
 
 def _heavy(rows: DataFrame) -> DataFrame:
     """Digits found in a large share of a sample of documents.  They only decide how rows are dealt to tasks."""
     some = rows.where(F.pmod(F.xxhash64("id", "version"), F.lit(SAMPLE)) == 0)
-    counts = stored(_digits(some).groupBy("gram").agg(F.countDistinct("id").alias("docs")).where("docs > 3"), "heavy-digits")
+    counts = stored(_digits(some).where("NOT known").groupBy("gram").agg(F.countDistinct("id").alias("docs")).where("docs > 3"), "heavy-digits")
     total = some.count()
     # a document has a limited number of anchors, so few digits can have such a share
     return counts.where(F.col("docs") > HEAVY_SHARE * total).select("gram", F.lit(True).alias("heavy"))
@@ -250,15 +257,18 @@ def _ranges(rows: DataFrame) -> DataFrame:
     group = W.partitionBy("gram", "salt")
     found = found.repartition("gram", "salt").withColumns({
         "count": F.count(F.lit(1)).over(group), "low": F.min("context").over(group), "high": F.max("context").over(group),
-    }).where((F.col("count") > 1) | F.col("heavy"))
+    }).where((F.col("count") > 1) | F.col("heavy") | F.col("known"))
     place = F.struct("id", "pos")
     found = found.withColumn("first", F.min(place).over(W.partitionBy("gram", "salt", "context")))
     several = (F.col("low") != F.col("high")) | F.coalesce("heavy", F.lit(False))
-    found = found.withColumn("again", place != F.col("first")).where(F.col("again") | several)
-    members = F.count(F.when(~F.col("again"), 1)).over(group)
-    found = found.withColumn("large", F.coalesce("heavy", F.lit(False)) | (members > GROUP))
+    found = found.withColumn("again", F.col("known") | (place != F.col("first"))).where(F.col("again") | several)
+    found = found.withColumn("members", F.count(F.when(~F.col("again"), 1)).over(group))
+    found = found.withColumn("spread", F.when(F.col("heavy"), F.col("gram")))
     version, pos = _split(F.col("pos"))
-    found = stored(found.select("id", version.alias("version"), pos.alias("pos"), "again", "large"), "anchors")
+    found = stored(found.select("id", version.alias("version"), pos.alias("pos"), "again", "members", "spread"), "anchors")
+    # the few digits that were dealt out by context are counted as wholes
+    whole = found.where("spread IS NOT NULL AND NOT again").groupBy("spread").agg(F.count(F.lit(1)).alias("all"))
+    found = found.join(F.broadcast(whole), "spread", "left").withColumn("large", F.coalesce("all", "members") > GROUP)
     around = found.where("again").select("id", "version", F.greatest(F.col("pos") - (SPAN - 1), F.lit(0)).alias("start"), (F.col("pos") + LENGTH).alias("end"))
     places = [
         stored(found.where("NOT again").where(size).groupBy("id", "version").agg(F.collect_set("pos").alias("places")), "anchor-places")
