@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +58,9 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "
     )
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
     spread = F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(row_hash, F.col("_salts").cast("bigint")).cast("int"))
+    # a null key matches nothing, so its rows may go anywhere
+    unmatched = reduce(lambda x, y: x | y, [F.col(f"`{c}`").isNull() for c in on])
+    spread = F.when(unmatched, F.pmod(row_hash, F.lit(share)).cast("int")).otherwise(spread)
     left = fact.join(heavy, on, "left").withColumn("_salt", spread).drop("_salts")
     right = (
         dim.join(heavy, on, "left")

@@ -17,7 +17,6 @@ from metforge.operators.skew import lookup_join
 from metforge.session import materialize
 
 KEYS_PER_SIDE = 8
-MAX_LEVEL = 40
 BOX = ["min_x", "min_y", "max_x", "max_y"]
 
 
@@ -34,7 +33,7 @@ def _bucket(level: Column, base: float) -> Column:
 def _with_level(shapes: DataFrame, base: float) -> DataFrame:
     extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), F.lit(base))
     level = F.ceil(F.log2(extent / F.lit(base * KEYS_PER_SIDE))).cast("int")
-    return shapes.withColumn("_level", F.greatest(F.lit(0), F.least(level, F.lit(MAX_LEVEL))))
+    return shapes.withColumn("_level", F.greatest(F.lit(0), level))
 
 
 def _covering_keys(df: DataFrame, base: float) -> DataFrame:
@@ -45,7 +44,7 @@ def _covering_keys(df: DataFrame, base: float) -> DataFrame:
 
 
 def _levels(shapes: DataFrame, column: str = "_level") -> list[int]:
-    """Levels in use: at most ``MAX_LEVEL + 1`` integers."""
+    """Levels in use: binary orders of magnitude of the extents, so a few dozen integers."""
     return sorted(r[0] for r in shapes.select(column).distinct().collect())
 
 
@@ -113,10 +112,24 @@ def box_subset(
     return rows.where(x.between(west, east) if west <= east else (x >= west) | (x <= east))
 
 
+def _both_sides(geoms: DataFrame) -> DataFrame:
+    """Polygons where cells of 0..360 degrees can be: as they are, and, if they reach west of Greenwich, 360 degrees on."""
+    on = F.transform("rings", lambda r: F.transform(r, lambda p: F.struct((p["x"] + 360.0).alias("x"), p["y"].alias("y"))))
+    west = F.array_min(F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p["x"]))))
+    copies = F.when(west < 0, F.array(F.col("rings"), on)).otherwise(F.array("rings"))
+    rows = geoms.select("gid", "geom_type", F.posexplode(copies).alias("_side", "rings"))
+    return rows.select(F.concat_ws("|", F.col("gid").cast("string"), "_side").alias("gid"), "geom_type", "rings")
+
+
 def polygon_mask(
-    cells: DataFrame, geoms: DataFrame, value: str, cell_id: str = "cell_id", lat: str = "lat", lon: str = "lon", resolution: float = 1.0
+    cells: DataFrame, geoms: DataFrame, value: str, cell_id: str = "cell_id", lat: str = "lat", lon: str = "lon", resolution: float = 1.0,
+    wrap: bool = False,
 ) -> DataFrame:
-    """Cells in the common bounding box of the polygons; values outside all polygons become null."""
+    """Cells in the common bounding box of the polygons; values outside all polygons become null.
+
+    With ``wrap`` the cells have longitudes of 0..360 and the polygons may run across Greenwich,
+    with negative longitudes in the west.
+    """
     box = (
         with_shape(geoms)
         .agg(*[F.min(c).alias(c) for c in ("min_x", "min_y")], *[F.max(c).alias(c) for c in ("max_x", "max_y")])
@@ -124,7 +137,11 @@ def polygon_mask(
     )
     if box["min_x"] is None:
         return cells.limit(0)
-    boxed = box_subset(cells, (box["min_y"], box["max_y"]), (box["min_x"], box["max_x"]), lat, lon)
+    full = box["max_x"] - box["min_x"] >= 360.0
+    across = (0.0, 359.999999999) if wrap and full else (box["min_x"], box["max_x"])
+    boxed = box_subset(cells, (box["min_y"], box["max_y"]), across, lat, lon, wrap=wrap)
+    if wrap:
+        geoms = _both_sides(geoms)
     places = boxed.select(cell_id, lat, lon).distinct()
     covered = cells_in_polygons(places, geoms, cell_id, "gid", lon, lat, resolution).select(cell_id).distinct()
     flagged = lookup_join(boxed, materialize(covered.withColumn("_inside", F.lit(True))), cell_id, "left")
@@ -169,6 +186,11 @@ def intersecting(
     return lookup_join(left, materialize(hits), gid, "left_semi")
 
 
+def grid_index(c: Column, origin: float, step: float) -> Column:
+    """Number of the grid line nearest to a coordinate.  Lines are compared by number: ``k * step`` is rarely exact."""
+    return F.floor((c - origin) / step + 0.5)
+
+
 def nearest_cells(
     points: DataFrame, cells: DataFrame, lat: str = "lat", lon: str = "lon",
     grid: tuple[float, float, float, float] | None = None,
@@ -180,17 +202,32 @@ def nearest_cells(
     """
     if grid is not None:
         lat0, dlat, lon0, dlon = grid
-        snap = lambda c, origin, step: F.floor((F.col(c) - origin) / step + 0.5) * F.lit(step) + F.lit(origin)
+        snap = lambda c, origin, step: grid_index(F.col(c), origin, step) * F.lit(step) + F.lit(origin)
         return points.withColumn("cell_lat", snap(lat, lat0, dlat)).withColumn("cell_lon", snap(lon, lon0, dlon))
     axes = {lat: cells.select(lat), lon: cells.select(lon)}
     return nearest_values(points, axes, {lat: "cell_lat", lon: "cell_lon"})
 
 
 def sample_points(points: DataFrame, cells: DataFrame, gid: str = "gid", grid: tuple[float, float, float, float] | None = None) -> DataFrame:
-    """Cell rows at the nearest cell of each point, with the point's id."""
+    """Cell rows at the nearest cell of each point, with the point's id.
+
+    Each axis is searched on its own, so the pair found need not be a cell; such a point keeps a row with
+    the pair's coordinates and nulls, like a missing value of a dense array.
+    """
     snapped = nearest_cells(points.select(gid, "lat", "lon"), cells, grid=grid)
     side = snapped.select(gid, F.col("cell_lat").alias("lat"), F.col("cell_lon").alias("lon"))
-    return lookup_join(cells, side, ["lat", "lon"])
+    keys, keyed = ["lat", "lon"], cells
+    if grid is not None:
+        lat0, dlat, lon0, dlon = grid
+        keys = ["_row", "_col"]
+        at = {"_row": grid_index(F.col("lat"), lat0, dlat), "_col": grid_index(F.col("lon"), lon0, dlon)}
+        side, keyed = side.withColumns(at), cells.withColumns(at)
+    side = materialize(side)
+    found = lookup_join(keyed, side if grid is None else side.drop("lat", "lon"), keys).drop("_row", "_col")
+    held = lookup_join(keyed.select(*keys), side.select(*keys).distinct(), keys).distinct()
+    lost = lookup_join(side, materialize(held), keys, "left_anti")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in cells.schema.fields if f.name not in ("lat", "lon")]
+    return found.unionByName(lost.select(gid, "lat", "lon", *missing))
 
 
 def effective_geometries(geoms: DataFrame, covered: DataFrame, gid: str = "gid") -> DataFrame:

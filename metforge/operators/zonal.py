@@ -52,7 +52,9 @@ def coarsen(
 ) -> tuple[DataFrame, DataFrame]:
     """``(series, cells)`` on blocks of ``factor`` x ``factor`` cells: the mean of the cells with data."""
     width = resolution * factor
-    row, col = F.floor(F.col("lat") / width), F.floor(F.col("lon") / width)
+    # native cells are numbered first: a coordinate like 0.3 / 0.1 may come out a little below its number
+    native = lambda c: F.floor(F.col(c) / resolution + 1e-6)
+    row, col = F.floor(native("lat") / factor), F.floor(native("lon") / factor)
     block = F.concat_ws("_", row.cast("string"), col.cast("string"))
     members = cells.select(cell_id, block.alias("_block"))
     centres = cells.select(

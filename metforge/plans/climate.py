@@ -29,18 +29,7 @@ def subset(
     if lat_bounds is not None and lon_bounds is not None:
         return spatial.box_subset(cells, lat_bounds, lon_bounds, wrap=True)
     if polygons is not None:
-        shifted = polygons.withColumn(
-            "rings",
-            F.transform(
-                "rings",
-                lambda r: F.when(
-                    # a ring wholly west of Greenwich moves by 360 degrees
-                    F.array_max(F.transform(r, lambda p: p["x"])) < 0,
-                    F.transform(r, lambda p: F.struct((p["x"] + 360.0).alias("x"), p["y"].alias("y"))),
-                ).otherwise(r),
-            ),
-        )
-        return spatial.polygon_mask(cells, shifted, value, cell_id, resolution=resolution)
+        return spatial.polygon_mask(cells, polygons, value, cell_id, resolution=resolution, wrap=True)
     return cells
 
 

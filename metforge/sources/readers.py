@@ -52,8 +52,10 @@ def band_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 
 def reference_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Wide statistics (one row per mean, min, max) as ``(variable, ref_mean, ref_min, ref_max)``."""
+    """Statistics as ``(variable, ref_mean, ref_min, ref_max)``: a row per variable, or wide with a row per mean, min, max."""
     wide = spark.read.option("header", True).csv(path)
+    if "variable" in wide.columns:
+        return wide.select("variable", *[F.col(c).cast("double").alias(f"ref_{c}") for c in ("mean", "min", "max")])
     index, variables = wide.columns[0], wide.columns[1:]
     long = wide.select(F.col(index).alias("_stat"), *[F.col(f"`{v}`").cast("double").alias(v) for v in variables]).unpivot(
         ["_stat"], variables, "variable", "_v"
@@ -123,12 +125,15 @@ def climate_cells(spark: SparkSession, path: str) -> DataFrame:
 def model_outputs(spark: SparkSession, path: str, variable: str) -> DataFrame:
     """Output tables that hold ``variable``, rows tagged with their ``source_file``.
 
-    Files may differ in columns; rows of files without the variable are left out.
+    Files may differ in columns.  Files without the variable are left out, by their schema; of the others all rows stay,
+    also those without a value.
     """
-    merged = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
-    if variable not in merged.columns:
+    files = spark.read.option("recursiveFileLookup", True).parquet(path).inputFiles()
+    held = [f for f in files if variable in spark.read.parquet(f).columns]
+    if not held:
         raise ValueError(f"no file below {path} holds {variable}")
-    return merged.withColumn("source_file", F.col("_metadata.file_name")).where(F.col(variable).isNotNull())
+    merged = spark.read.option("mergeSchema", True).parquet(*held)
+    return merged.withColumn("source_file", F.col("_metadata.file_name"))
 
 
 def site_store(spark: SparkSession, path: str, gids: Sequence[str] | None = None) -> DataFrame:

@@ -41,7 +41,7 @@ def nearest_cell_regular(spark, sf):
 
 
 @query(
-    f"""WITH near AS ({nearest('points', 'px', 'py')}) SELECT n.gid, c.cell_id, c.lat, c.lon, c.value FROM near n JOIN cells c USING (lat, lon)""",
+    f"""WITH near AS ({nearest('points', 'px', 'py')}) SELECT n.gid, c.cell_id, n.lat, n.lon, c.value FROM near n LEFT JOIN cells c USING (lat, lon)""",
     ("cells", "points"),
 )
 def point_samples(spark, sf):
@@ -49,6 +49,52 @@ def point_samples(spark, sf):
     return spatial.sample_points(points, views.cells(spark, sf)).select("gid", "cell_id", "lat", "lon", "value")
 
 
+def _tenth(df):
+    """The same on a grid of 0.1 degrees, whose lines no double holds exactly."""
+    return df.withColumns({"lat": F.col("lat") * 0.1, "lon": F.col("lon") * 0.1})
+
+
+TENTH = (0.0, 0.1, 0.0, 0.1)
+
+
+@query("SELECT cell_id AS gid, CAST(lat AS BIGINT) AS line_lat, CAST(lon AS BIGINT) AS line_lon FROM cells", ("cells",))
+def nearest_cell_tenth(spark, sf):
+    points = _tenth(views.cells(spark, sf)).withColumnRenamed("cell_id", "gid")
+    near = spatial.nearest_cells(points, points, grid=TENTH)
+    line = lambda c: F.rint(F.col(c) * 10).cast("bigint")
+    return near.select("gid", line("cell_lat").alias("line_lat"), line("cell_lon").alias("line_lon"))
+
+
+@query("SELECT cell_id AS gid, cell_id, value FROM cells", ("cells",))
+def point_samples_tenth(spark, sf):
+    cells = _tenth(views.cells(spark, sf))
+    points = cells.select(F.col("cell_id").alias("gid"), "lat", "lon")
+    return spatial.sample_points(points, cells, grid=TENTH).select("gid", "cell_id", "value")
+
+
+@query(
+    """SELECT CAST(CAST(floor(lat / 2e0) AS BIGINT) AS VARCHAR) || '_' || CAST(CAST(floor(lon / 2e0) AS BIGINT) AS VARCHAR) AS cell_id,
+ strftime(time, '%Y-%m-%d %H:%M') AS date, round(avg(s.value), 6) AS value FROM cell_series s JOIN cells USING (cell_id) GROUP BY ALL""",
+    ("cells", "cell_series"),
+)
+def coarse_tenth(spark, sf):
+    means, _ = zonal.coarsen(views.cell_series(spark, sf), _tenth(views.cells(spark, sf)), ["value"], 2, 0.1)
+    return means.select("cell_id", temporal.stamp(F.col("time"), "minute").alias("date"), rounded("value").alias("value"))
+
+
+@query(
+    """SELECT cell_id, lat, x AS lon, CASE WHEN lat > 3 AND lat < 21 AND (x < 15.5e0 OR x > 329.5e0) THEN value END AS value
+FROM (SELECT cell_id, lat, (lon * 10) % 360 AS x, value FROM cells) WHERE lat BETWEEN 3 AND 21 AND (x <= 15.5e0 OR x >= 329.5e0)""",
+    ("cells",),
+)
+def polygon_subset_seam(spark, sf):
+    cells = views.cells(spark, sf).withColumn("lon", (F.col("lon") * 10) % 360)
+    corners = [(-30.5, 3.0), (15.5, 3.0), (15.5, 21.0), (-30.5, 21.0), (-30.5, 3.0)]
+    ring = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in corners])
+    across = spark.range(1).select(F.lit("a").alias("gid"), F.lit("Polygon").alias("geom_type"), F.array(ring).alias("rings"))
+    return climate.subset(cells, polygons=across).select("cell_id", "lat", "lon", "value")
+
+
 @query("SELECT cell_id, lat, lon, value FROM cells WHERE lat BETWEEN 5 AND 30 AND lon BETWEEN 1 AND 20", ("cells",))
 def box_subset(spark, sf):
     return spatial.box_subset(views.cells(spark, sf), (5, 30), (1, 20))
