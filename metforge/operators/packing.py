@@ -71,8 +71,8 @@ def pack_table(
     )
 
 
-def unpack_table(df: DataFrame, value: str = "value") -> DataFrame:
-    return df.withColumn(value, codec.unpack(F.col("packed"), F.col("add_offset"), F.col("scale_factor")))
+def unpack_table(df: DataFrame, value: str = "value", target: str = "int16") -> DataFrame:
+    return df.withColumn(value, codec.unpack(F.col("packed"), F.col("add_offset"), F.col("scale_factor"), target))
 
 
 def with_attributes(df: DataFrame, variable: str = "variable") -> DataFrame:
