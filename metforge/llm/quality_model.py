@@ -96,11 +96,12 @@ class Model:
         out = np.zeros(len(texts))
         k = min(NEIGHBOURS, len(self.labels))
         for first in range(0, len(texts), BLOCK):
-            cosines = self.project([terms(t) for t in texts[first : first + BLOCK]]) @ self.vectors.T
+            # products of a block may differ in their last bits by a row's place in it; equal texts shall not
+            cosines = np.round(self.project([terms(t) for t in texts[first : first + BLOCK]]) @ self.vectors.T, 5)
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
             weight = np.maximum(np.take_along_axis(cosines, near, 1), 1e-6).astype(np.float64) ** SHARPNESS
             out[first : first + BLOCK] = (weight * self.labels[near]).sum(1) / weight.sum(1)
-        return np.clip(out, 0.0, 1.0)
+        return np.clip(np.round(out, 6), 0.0, 1.0)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
