@@ -102,12 +102,15 @@ def _first_digits(ids: list[int], versions: list[int], texts: list[bytes]) -> tu
     """``id, pos, gram, context, known`` of all anchors; a position has the number of the version above its low bits.
 
     An anchor that follows one of equal digits is known to be a repetition; it is dealt out by its place instead.
+    Rows that repeat a version are one text, and do not repeat themselves.
     """
     _, two = _rollers()
     out: list[list[np.ndarray]] = [[], [], [], []]
+    seen: set[tuple[int, int]] = set()
     for i, v, t in zip(ids, versions, texts, strict=True):
-        if len(t) < LENGTH:
+        if len(t) < LENGTH or (i, v) in seen:
             continue
+        seen.add((i, v))
         b = np.frombuffer(t, np.uint8)
         grams, _, at = _anchors(b)
         start, end = np.maximum(at - (SPAN - 1), 0), np.minimum(at + LENGTH, len(b))
@@ -190,6 +193,8 @@ def _sorted_inside(df: DataFrame) -> DataFrame:
 
     def flush(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(parts)
+        place = np.stack([rows[k].to_numpy() for k in ("gram", "id", "pos")])  # one row for each place, however often its text is repeated
+        rows = rows.filter(pa.array(np.concatenate([[True], (place[:, 1:] != place[:, :-1]).any(0)])))
         hit, low, high = _repeats(rows["gram"].to_numpy(), rows["left"].to_numpy(), rows["bytes"].to_pylist())
         yield pa.RecordBatch.from_arrays([
             rows["id"].combine_chunks().take(pa.array(hit)), rows["pos"].combine_chunks().take(pa.array(hit)), pa.array(low, pa.int64()), pa.array(high, pa.int64())

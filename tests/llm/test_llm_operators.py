@@ -384,6 +384,18 @@ def test_suffix_dedup(docs, rows, group, monkeypatch):
     assert got == want and sum(x[1] > 0 for x in want.values()) > 20
 
 
+@pytest.mark.parametrize("group", [2048, 1])
+@pytest.mark.parametrize("parts", [1, 5])
+def test_repeated_rows_are_one_text(spark, group, parts, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    shared = " ".join(words(40, 4))
+    rows = [(i, f"{' '.join(words(60, 50 + i))} {shared} {' '.join(words(60, 80 + i))}") for i in range(4)] * 3
+    want = suffix_dedup.naive([(i, t.encode()) for i, t in set(rows)])
+    out = suffix_dedup.dedup_strings(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).repartition(parts)).collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans) for r in sorted(out)] == [want[r.doc_id][:3] for r in sorted(out)]
+    assert [x[1] > 0 for x in want.values()] == [False, True, True, True]
+
+
 def test_versions_of_one_id(spark):
     body = " ".join(words(60, 4))
     rows = [(1, body), (1, "start " + body), (2, body), (None, body), (None, None)]
