@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from metforge import dims
 from metforge.functions import codec, temporal
 from metforge.functions import geometry as geo
-from metforge.operators import packing, projection, quality, sites, spatial, timeaxis
+from metforge.operators import packing, projection, quality, sites, spatial, terrain, timeaxis
 from metforge.plans import forcing, sampling
 from metforge.session import scratch_path
 from metforge.sources import readers, sinks
@@ -204,14 +204,15 @@ def geojson_features(spark, sf):
 
 @query(
     """SELECT printf('%04d-%02d-%02d %02d:%02d:%02d', year, month, day, second // 3600, (second % 3600) // 60, second % 60) AS date,
- lon, lat, round(pr, 6) AS value, 'pr' AS var, split_part(split_part(path, '/', -1), '_', 2) AS model, split_part(split_part(path, '/', -1), '_', 3) AS ssp FROM climate""",
+ lon, lat, round(u.value, 6) AS value, u.var, split_part(split_part(path, '/', -1), '_', 2) AS model, split_part(split_part(path, '/', -1), '_', 3) AS ssp
+ FROM climate, LATERAL (VALUES ('pr', pr), ('tas', tas)) AS u(var, value)""",
     ("climate",),
 )
 def climate_long_file(spark, sf):
     from metforge.operators.catalog import long_table
 
     path = scratch_path(spark, "long")
-    sinks.climate_long(long_table(views.climate(spark, sf), ["pr"]).withColumn("value", rounded("value")), path)
+    sinks.climate_long(long_table(views.climate(spark, sf), ["pr", "tas"]).withColumn("value", rounded("value")), path)
     return spark.read.schema("date string, lon double, lat double, value double, var string, model string, ssp string").option(
         "header", True
     ).csv(path)
@@ -273,3 +274,58 @@ def grid_export(spark, sf):
 )
 def site_coordinates(spark, sf):
     return forcing.site_table(views.sites(spark, sf))
+
+
+@query(
+    """SELECT CAST(p_partkey AS VARCHAR) AS band_name, p_brand AS units, p_name || ', "' || p_type || '", size ' || CAST(p_size AS VARCHAR) AS description FROM part"""
+)
+def band_scan(spark, sf):
+    path = scratch_path(spark, "bands")
+    text = F.concat("p_name", F.lit(', "'), "p_type", F.lit('", size '), F.col("p_size").cast("string"))
+    bands = views.table(spark, sf, "part").select(F.col("p_partkey").alias("band_name"), F.col("p_brand").alias("units"), text.alias("description"))
+    bands.write.option("header", True).option("escape", '"').csv(path)
+    return readers.band_catalogue(spark, path)
+
+
+@query("SELECT feature_id, row, col, round(x, 6) + 0e0 AS x, round(y, 6) + 0e0 AS y, round(elevation, 6) + 0e0 AS elevation FROM lattice_dem", ("lattice_dem",))
+def dem_scan(spark, sf):
+    path = scratch_path(spark, "dem")
+    views.lattice_dem(spark, sf).write.parquet(path)
+    return readers.elevation_model(spark, path).select("feature_id", "row", "col", *[rounded(c).alias(c) for c in ("x", "y", "elevation")])
+
+
+@query("SELECT feature_id, row, col, round(elevation, 6) + 0e0 AS elevation FROM lattice_dem WHERE row % 50 = 0 AND col % 50 = 0", ("lattice_dem",))
+def dem_export_scale(spark, sf):
+    """At the export scale of a source that is not the native one."""
+    coarse = terrain.downsample(views.lattice_dem(spark, sf), terrain.export_scale("native", native=False))
+    return coarse.select("feature_id", "row", "col", rounded("elevation").alias("elevation"))
+
+
+@query("SELECT * FROM catalogue", ("catalogue",))
+def catalogue_scan(spark, sf):
+    path = scratch_path(spark, "catalogue")
+    views.catalogue(spark, sf).write.option("header", True).csv(path)
+    return readers.climate_catalogue(spark, path)
+
+
+@query(
+    """SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, CAST(day AS INTEGER) AS day, calendar, round(lat, 6) + 0e0 AS lat, round(lon, 6) + 0e0 AS lon, round(pr, 6) + 0e0 AS pr,
+ round(tas, 6) + 0e0 AS tas, true AS has_path FROM climate""",
+    ("climate",),
+)
+def climate_cells_scan(spark, sf):
+    path = scratch_path(spark, "gridded")
+    views.climate(spark, sf).drop("path").write.parquet(path)
+    cells = readers.climate_cells(spark, path)
+    values = [rounded(c).alias(c) for c in ("lat", "lon", "pr", "tas")]
+    return cells.select("year", "month", "day", "calendar", *values, F.col("path").endswith(".parquet").alias("has_path"))
+
+
+@query(f"{READY} SELECT gid, {STAMP.format(c='time')} AS time, round(TBOT, 6) AS TBOT FROM ready WHERE zone = 2", ("hourly", "sites"))
+def zone_selection(spark, sf):
+    """One zone, pruned by the partition folder."""
+    path = scratch_path(spark, "by-zone")
+    ready = forcing.forcing_ready(views.hourly(spark, sf), views.sites(spark, sf), forcing.ForcingOptions(zones=4))
+    ready.write.partitionBy("zone").parquet(path)
+    one = spark.read.parquet(path).where("zone = 2")
+    return one.select("gid", temporal.stamp(F.col("time")).alias("time"), rounded("TBOT").alias("TBOT"))

@@ -116,11 +116,11 @@ def order_axis(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL["catalogue"] = """
-SELECT CAST(user_id AS VARCHAR) AS source_id, event_type AS variable_id,
+SELECT CAST(user_id AS VARCHAR) || 'm' || CAST(event_id % 20 AS VARCHAR) AS source_id, event_type AS variable_id,
        'exp' || CAST(event_id % 3 AS VARCHAR) AS experiment_id, 'Amon' AS table_id,
        'r' || CAST(event_id % 5 AS VARCHAR) || 'i1p1f1' AS member_id,
        'store/' || CAST(event_id AS VARCHAR) AS zstore
-FROM events WHERE value > 100
+FROM events
 """
 
 
@@ -128,9 +128,8 @@ def catalogue(spark: SparkSession, sf: str) -> DataFrame:
     e = F.col("event_id")
     return (
         table(spark, sf, "events")
-        .where(F.col("value") > 100)
         .select(
-            F.col("user_id").cast("string").alias("source_id"),
+            F.concat(F.col("user_id").cast("string"), F.lit("m"), (e % 20).cast("string")).alias("source_id"),
             F.col("event_type").alias("variable_id"),
             F.concat(F.lit("exp"), (e % 3).cast("string")).alias("experiment_id"),
             F.lit("Amon").alias("table_id"),

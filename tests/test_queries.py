@@ -25,4 +25,4 @@ def test_entry(spark, sf):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0
-    assert set(e.queries()) == set(QUERIES)
+    assert set(QUERIES) <= set(e.queries())  # the training-text queries may be added
