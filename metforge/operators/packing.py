@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from metforge import dims
 from metforge.functions import codec, physics
-from metforge.operators.ordering import global_row_number
+from metforge.operators.ordering import global_row_number, group_row_number
 from metforge.operators.skew import lookup_join
-from metforge.session import materialize
+from metforge.session import materialize, stored
 
 
 def packing_params(df: DataFrame, by: Sequence[str], value: str = "value", target: str = "int16") -> DataFrame:
@@ -90,6 +90,24 @@ def dense_index(df: DataFrame, time: str = "time", site: str = "gid", lat: str =
     return lookup_join(lookup_join(df, times, time), places, site)
 
 
+def dense_cells(
+    df: DataFrame, places: DataFrame, group: str, time: str = "time", site: str = "gid", lat: str = "lat", lon: str = "lon"
+) -> DataFrame:
+    """Every stamp of a group at every site of that group, with 0-based ``t_idx`` and ``n_idx``.
+
+    ``df`` has unique (group, site, time); the columns of a cell without a row are null.  The axes
+    are joined on the group, so the pairs formed are the cells of the result and no others.
+    """
+    times = group_row_number(df.select(group, time).distinct(), [group], [time], "t_idx")
+    at = places.select(F.col(site).cast("string").alias(site), lat, lon)
+    located = lookup_join(df.select(group, site).distinct(), at, site, "left")
+    sites = group_row_number(located, [group], [lat, lon, site], "n_idx")
+    axes = lookup_join(
+        times.select(group, time, (F.col("t_idx") - 1).alias("t_idx")), stored(sites.select(group, site, (F.col("n_idx") - 1).alias("n_idx")), "grid-sites"), group
+    )
+    return axes.join(df, [group, site, time], "left")
+
+
 def dense_coverage(df: DataFrame, time: str = "time", site: str = "gid") -> DataFrame:
     """One row: does every site have a row at every stamp?"""
     return df.agg(

@@ -148,14 +148,18 @@ def resample_pick(
     hours: int,
     calendar: str = "standard",
     on_duplicate: str = "error",
+    origin: Sequence[str] | None = None,
 ) -> DataFrame:
     """Coarser axis from the bins, values as observed exactly at the bin starts.
 
-    The bins are those of :func:`resample_mean`; a bin whose start was not observed has
+    Bins are counted from the first day of each key, or of each group of the columns ``origin`` (among
+    ``keys``), whose keys then share their bins.
+
+    They are otherwise those of :func:`resample_mean`; a bin whose start was not observed has
     nulls.  Both come out of one aggregate, without joining the axis to the rows.
     """
     single = unique_rows(drop_leap_days(df, time, calendar), keys, time, values, on_duplicate)
-    binned = _bin_start(single, keys, time, hours)
+    binned = _bin_start(single, keys if origin is None else origin, time, hours)
     at_start = F.col(time) == F.col("_bin")
     picked = binned.groupBy(*keys, F.col("_bin").alias("_start")).agg(
         *[F.max(F.when(at_start, F.col(v))).alias(v) for v in values],

@@ -97,29 +97,34 @@ def packed_dataset(
     """``(values, metadata)`` of packed data sets.
 
     ``site`` makes one data set per site and variable, ``grid`` one per variable and zone
-    over all locations.  ``locations`` carries ``gid, lat, lon, zone``.  Stamps of the
-    axis without data hold the fill value.
+    over all locations with data: every stamp of the zone's common axis at every site, placed by
+    ``t_idx`` and ``n_idx`` (sites by lat, lon, id).  ``locations`` carries ``gid, lat, lon, zone``.
+    Cells and stamps without data hold the fill value.
     """
     if layout not in ("site", "grid"):
         raise ValueError("layout must be 'site' or 'grid'")
     variables = projection.profile_variables(options.profile)
     hours = options.resolution_hours
+    place = locations.select(F.col("gid").cast("string").alias("gid"), F.col("zone").cast("int").alias("zone"))
+    rows, keys = lookup_join(ready.drop("zone"), place, "gid"), ["gid", "zone"]
     if hours > 1:
-        on_axis = timeaxis.resample_pick(ready, ["gid"], "time", variables, hours, options.calendar, options.on_duplicate)
+        origin = keys if layout == "site" else ["zone"]
+        on_axis = timeaxis.resample_pick(rows, keys, "time", variables, hours, options.calendar, options.on_duplicate, origin)
     else:
-        on_axis = timeaxis.unique_rows(
-            timeaxis.drop_leap_days(ready, "time", options.calendar), ["gid"], "time", variables, options.on_duplicate
-        )
-    place = locations.select(F.col("gid").cast("string").alias("gid"), F.col("zone").cast("int").alias("zone"))
+        on_axis = timeaxis.unique_rows(timeaxis.drop_leap_days(rows, "time", options.calendar), keys, "time", variables, options.on_duplicate)
     # the one heavy shuffle; one pass over the result gives origins and ranges, another packs
-    on_axis = stored(lookup_join(on_axis, place, "gid"), "on-axis")
-    by = ["gid", "zone"] if layout == "site" else ["zone"]
+    on_axis = stored(on_axis, "on-axis")
+    by = keys if layout == "site" else ["zone"]
     params = materialize(packing.wide_params(on_axis, by, variables, "time"))
     stamps = timeaxis.dtime_columns(
         F.col("time"), F.col("first"), options.dtime_units, options.calendar, options.dtime_mode
     )
-    packed = packing.pack_wide(on_axis, params, by, variables).withColumn("dtime", stamps["dtime"])
-    values = projection.melt(packed.select("gid", "zone", "time", "dtime", *variables), ["gid", "zone", "time", "dtime"], variables, value="packed")
+    cells, place_in = on_axis, []
+    if layout == "grid":
+        cells, place_in = packing.dense_cells(on_axis, locations.select("gid", "lat", "lon"), "zone"), ["t_idx", "n_idx"]
+    packed = packing.pack_wide(cells, params, by, variables).withColumn("dtime", stamps["dtime"])
+    kept = ["gid", "zone", "time", "dtime", *place_in]
+    values = projection.melt(packed.select(*kept, *variables), kept, variables, value="packed")
 
     meta = packing.with_attributes(packing.long_params(params, by, variables)).select(
         *by,
@@ -135,7 +140,7 @@ def packed_dataset(
         F.lit(options.calendar).alias("calendar"),
         stamps["dtime_units"].alias("dtime_units"),
     )
-    return values.select("gid", "variable", "zone", "time", "dtime", "packed"), meta
+    return values.select("gid", "variable", "zone", "time", "dtime", *place_in, "packed"), meta
 
 
 def site_table(locations: DataFrame) -> DataFrame:

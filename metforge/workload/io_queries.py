@@ -123,6 +123,7 @@ def _packed_check(spark, sf, layout):
         temporal.stamp(F.col("time")).alias("time"),
         rounded("dtime").alias("dtime"),
         rounded(value, 5).alias("value"),
+        *[c for c in ("t_idx", "n_idx") if c in values.columns],
     )
 
 
@@ -138,9 +139,34 @@ def packed_sites(spark, sf):
     return _packed_check(spark, sf, "site")
 
 
-@query(_packed_sql("variable, zone", "zone") + CHECK.format(by="variable, zone", since="zone"), ("hourly", "sites"))
+PLACED = """ SELECT c.*, dense_rank() OVER (PARTITION BY zone ORDER BY time) - 1 AS t_idx,
+ dense_rank() OVER (PARTITION BY zone ORDER BY s.lat, s.lon, s.gid) - 1 AS n_idx FROM ({cells}) c JOIN sites s USING (gid)"""
+
+
+@query(
+    _packed_sql("variable, zone", "zone") + PLACED.format(cells=CHECK.format(by="variable, zone", since="zone")), ("hourly", "sites")
+)
 def packed_grid(spark, sf):
-    return _packed_check(spark, sf, "grid")
+    """The cells with data, at their places in the dense data sets."""
+    return _packed_check(spark, sf, "grid").where("value IS NOT NULL")
+
+
+@query(
+    _packed_sql("variable, zone", "zone")
+    + """ SELECT variable, CAST(zone AS INTEGER) AS zone, count(DISTINCT time) AS n_times, count(DISTINCT gid) AS n_sites,
+ count(DISTINCT time) * count(DISTINCT gid) AS n_cells, count(DISTINCT time) * count(DISTINCT gid) - count(value) AS n_fill
+FROM long GROUP BY ALL""",
+    ("hourly", "sites"),
+)
+def packed_grid_shape(spark, sf):
+    """Stamps, sites, cells and cells without data of every dense data set."""
+    values, _ = _packed(spark, sf, "grid")
+    return values.groupBy("variable", "zone").agg(
+        (F.max("t_idx") + 1).alias("n_times"),
+        (F.max("n_idx") + 1).alias("n_sites"),
+        F.count(F.lit(1)).alias("n_cells"),
+        F.count_if(F.col("packed") == codec.FILL).alias("n_fill"),
+    )
 
 
 @query(

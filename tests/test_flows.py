@@ -78,7 +78,12 @@ def test_packed_dataset(spark, folder, places, tmp_path, layout, sets):
     assert meta.count() == sets and meta.where("units = 'K'").count() == sets // 7
     assert {r["dataset"] for r in meta.collect()} == {f"ERA5_{v}_2000-2001_z01" for v in dims.PROFILES["BYPASS"]}
     back = spark.read.parquet(str(tmp_path / "out/values"))
-    assert back.count() == 8 * 7 and dict(back.dtypes)["packed"] == "smallint"
+    stamps = ready.select("time").distinct().count()
+    assert back.count() == (8 if layout == "site" else stamps * 2) * 7 and dict(back.dtypes)["packed"] == "smallint"
+    if layout == "grid":  # dense, the cells without data hold the fill value
+        one = back.where("variable = 'TBOT'")
+        assert {(r["t_idx"], r["n_idx"]) for r in one.collect()} == {(t, n) for t in range(stamps) for n in range(2)}
+        assert one.where("packed <> -32767").count() == 8
     last = back.where("gid = 1 and variable = 'TBOT'").orderBy(F.desc("time")).first()
     assert last["dtime"] == pytest.approx(730 + 23 / 24)
 
@@ -95,6 +100,18 @@ def test_coarse_axis_has_fill_values(spark, places):
     assert got[0]["packed"] == -32767 and got[1]["packed"] < got[2]["packed"]
 
 
+def test_sites_of_a_grid_share_their_bins(spark, places):
+    rows = [("1", "2001-01-01 00:00", 280.0), ("1", "2001-01-02 12:00", 281.0), ("2", "2001-01-02 12:00", 290.0)]
+    hourly = spark.createDataFrame([(*r, 3.0, 4.0, 1.0, 1.0, 1.0, 1e5, 275.0) for r in rows], ["gid", "date", *dims.REQUIRED_BANDS])
+    located = sites.with_zones(places, 1)
+    options = forcing.ForcingOptions(resolution_hours=36)
+    ready = forcing.model_ready(hourly, located, 2001, 2001, options)
+    values, _ = forcing.packed_dataset(ready, located, 2001, 2001, options, layout="grid")
+    got = {(r["gid"], r["dtime"]): r["packed"] for r in values.where("variable = 'TBOT'").collect()}
+    assert set(got) == {("1", 0.0), ("1", 1.5), ("2", 0.0), ("2", 1.5)}
+    assert [k for k, v in got.items() if v == -32767] == [("2", 0.0)]
+
+
 def test_site_store_and_mapping(spark, folder, places, tmp_path):
     ready = forcing.forcing_ready(readers.hourly_csv(spark, str(folder)), places)
     sinks.site_store(ready, str(tmp_path / "store"))
