@@ -67,18 +67,24 @@ def coarsen(
 
 def sampling_map(
     cells: DataFrame, geoms: DataFrame, resolution: float = 1.0, weights: str = "centre",
-    grid: tuple[float, float, float, float] | None = None,
+    grid: tuple[float, float, float, float] | None = None, valid: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(cell_map, geometries)`` for one row per cell and one per geometry.
 
     Polygons take the cells whose centres they contain (weight 1) or, with
     ``weights="overlap"``, every cell by the share covered.  Points, and polygons that
-    hold no cell centre, take the nearest cell.
+    hold no cell centre, take the nearest cell.  With ``valid``, a table of the ``cell_id`` that have
+    data in a sample image, only those count as held; a polygon that holds one takes all its cells.
     """
     if weights not in ("centre", "overlap"):
         raise ValueError("weights must be 'centre' or 'overlap'")
     covered = stored(spatial.cells_in_polygons(cells, geoms, resolution=resolution), "covered")
-    effective = materialize(spatial.effective_geometries(geoms, covered))
+    held = covered
+    if valid is not None:
+        held = lookup_join(covered, stored(valid.select("cell_id").distinct(), "valid-cells"), "cell_id", "left_semi")
+    effective = materialize(spatial.effective_geometries(geoms, held))
+    if valid is not None:
+        covered = lookup_join(covered, effective.where(F.col("geom_type") != "Point").select("gid"), "gid", "left_semi")
     if weights == "overlap":
         kept = effective.where(F.col("geom_type") != "Point").select("gid", "geom_type", "rings")
         by_area = spatial.overlap_weights(cells, kept, resolution)

@@ -261,6 +261,22 @@ def coverage_fallback(spark, sf):
 # --- shapes -----------------------------------------------------------------------------
 
 
+@query(
+    f"""WITH top AS (SELECT min(time) AS t FROM cell_series WHERE time >= TIMESTAMP '1996-01-01' AND time < TIMESTAMP '2031-01-01'),
+valid AS (SELECT DISTINCT cell_id, true AS ok FROM cell_series JOIN top ON time = t WHERE value IS NOT NULL),
+n AS (SELECT z.gid, count(v.ok) AS n, count(c.cell_id) AS n_all FROM zones z LEFT JOIN cells c ON {IN_BOX} LEFT JOIN valid v USING (cell_id) GROUP BY z.gid)
+SELECT gid, CASE WHEN n = 0 THEN 'Point' ELSE 'Polygon' END AS geom_type, n AS n_cells, CASE WHEN n = 0 THEN 1 ELSE n_all END AS n_sampled FROM n""",
+    ("cells", "zones", "cell_series"),
+)
+def coverage_valid(spark, sf):
+    """Polygons without a cell that has data in the first image become points."""
+    request = sampling.SampleRequest("1996-01-01", "2031-01-01", ["value"], sample_image=("1996-01-01", "2031-01-01"), sample_band="value")
+    valid = sampling.valid_cells(views.cell_series(spark, sf), request)
+    cell_map, effective = zonal.sampling_map(views.cells(spark, sf), views.boxes(spark, sf), valid=valid)
+    sampled = cell_map.groupBy("gid").agg(F.count(F.lit(1)).alias("n_sampled"))
+    return effective.select("gid", "geom_type", "n_cells").join(sampled, "gid", "left")
+
+
 @query(
     """SELECT gid, round(cy, 6) AS lat, round(cx, 6) AS lon, 'sampled across provided polygon' AS method,
  'POLYGON ((' || x1 || ' ' || yc || ', ' || xc || ' ' || y1 || ', ' || x0 || ' ' || yc || ', ' || xc || ' ' || y0 || ', ' || x1 || ' ' || yc || '))'

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from metforge.functions import geometry as geo
 from metforge.operators import spatial, zonal
-from metforge.plans import climate
+from metforge.plans import climate, sampling
 from metforge.sources import readers, sinks
 
 
@@ -149,6 +149,27 @@ def test_zonal_mean_skips_missing_cells_and_stays_in_range(spark):
     assert {r["gid"]: r["geom_type"] for r in effective.collect()} == {"p": "Polygon", "tiny": "Point", "pt": "Point"}
 
 
+def test_polygons_without_data_become_points(spark):
+    cells = spark.createDataFrame([(i, float(i // 4), float(i % 4)) for i in range(16)], "cell_id int, lat double, lon double")
+    box = lambda x: [[[x - 0.5, -0.5], [x + 1.5, -0.5], [x + 1.5, 1.5], [x - 0.5, 1.5]]]  # four cells
+    geoms = features(spark, [("west", "Polygon", box(0)), ("east", "Polygon", box(2))])
+    image = [(0, 2.0), (1, None), (2, float("nan")), (3, None)]
+    series = [(c, "2001-01-01 05:00:00", v) for c, v in image] + [(c, "2001-01-01 06:00:00", 1.0) for c in range(16)]
+    rows = spark.createDataFrame(series, "cell_id int, time string, temperature_2m double").withColumn("time", F.col("time").cast("timestamp_ntz"))
+    request = sampling.SampleRequest("2001-01-01", "2001-01-03", ["temperature_2m"], resolution=1.0, sample_image=("2001-01-01", "2001-01-02"))
+    valid = sampling.valid_cells(rows, request)
+    assert [r["cell_id"] for r in valid.collect()] == [0]
+    for weights in ("centre", "overlap"):
+        cell_map, effective = zonal.sampling_map(cells, geoms, 1.0, weights, valid=valid)
+        assert {r["gid"]: (r["geom_type"], r["n_cells"]) for r in effective.collect()} == {"west": ("Polygon", 1), "east": ("Point", 0)}
+        got = cell_map.groupBy("gid").agg(F.count("cell_id").alias("n")).collect()
+        assert {r["gid"]: r["n"] for r in got} == {"west": 4, "east": 1}
+    none = zonal.sampling_map(cells, geoms, 1.0, valid=valid.where("false"))[1]
+    assert {r["geom_type"] for r in none.collect()} == {"Point"}
+    _, places = sampling.sample_zonal(rows, cells, geoms, request)
+    assert {r["gid"]: r["method"] for r in places.collect()} == {"west": spatial.METHODS["Polygon"], "east": spatial.METHODS["Point"]}
+
+
 def test_climate_subset(spark):
     cells = spark.createDataFrame([(i, float(lat), float(lon), 1.0) for i, (lat, lon) in enumerate((a, b) for a in (10, 20) for b in (5, 100, 350))], "cell_id int, lat double, lon double, value double")
     at = climate.subset(cells, point=(14.0, -9.0)).collect()
