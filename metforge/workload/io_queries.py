@@ -80,14 +80,19 @@ def site_store(spark, sf):
     return kept.select("gid", temporal.stamp(F.col("time")).alias("time"), rounded("TBOT").alias("TBOT"))
 
 
-def _packed(spark, sf, layout):
-    """Packed data sets of the station view, written and read back."""
+def _packed_sets(spark, sf, layout):
+    """Packed data sets of the station view and their metadata."""
     located = sites.with_zones(views.sites(spark, sf), 3)
     hourly = views.hourly(spark, sf)
     options = forcing.ForcingOptions(zones=3, on_duplicate="lowest")
     first, last = forcing.year_bounds(hourly, options)
     ready = forcing.model_ready(hourly, located, first, last, options)
-    values, meta = forcing.packed_dataset(ready, located, first, last, options, layout)
+    return forcing.packed_dataset(ready, located, first, last, options, layout)
+
+
+def _packed(spark, sf, layout):
+    """The same, written and read back."""
+    values, meta = _packed_sets(spark, sf, layout)
     path = scratch_path(spark, f"packed-{layout}")
     sinks.packed_dataset(values, meta, path, layout)
     return spark.read.parquet(f"{path}/values"), spark.read.parquet(f"{path}/metadata")
@@ -176,7 +181,7 @@ def packed_grid_shape(spark, sf):
     ("hourly", "sites"),
 )
 def packed_metadata(spark, sf):
-    _, meta = _packed(spark, sf, "grid")
+    _, meta = _packed_sets(spark, sf, "grid")
     return meta.select(
         "variable", "zone", rounded("add_offset").alias("add_offset"), rounded("scale_factor", 9).alias("scale_factor"), "fill", "calendar", "dtime_units"
     )

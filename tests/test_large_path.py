@@ -9,6 +9,7 @@ from oracle import compare, connect
 NAMES = [
     "forcing_ready", "pack_values", "dense_index", "axis_check", "resample_mean_uneven", "range_validation",
     "complete_models", "point_samples", "polygon_mask", "grid_intersects", "zonal_mean", "topounits_elev_aspect",
+    "packed_grid_shape",
 ]
 
 
