@@ -24,12 +24,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from metforge.llm.common import LOWER, add_columns, fresh, hashed, lists, mixed, table, windows
 from metforge.llm.components import components
-from metforge.operators.skew import lookup_join
+from metforge.operators.skew import HEAVY_SHARE, fits_broadcast, lookup_join
 from metforge.session import stored
 
 SHINGLE = 5
@@ -296,6 +295,23 @@ def _grouped(df: DataFrame, keys: list[str], read: Callable, links: Callable) ->
     return df.repartition(*keys).sortWithinPartitions(*keys, "doc_id").mapInArrow(run, "a bigint, b bigint")
 
 
+def _buckets(keyed: DataFrame) -> DataFrame:
+    """``bucket, count, doc_id`` of the keys that several rows ``doc_id, key`` have; keys with the same documents are one bucket."""
+    h = F.xxhash64("doc_id")
+    # halves, as the sum of whole hashes leaves BIGINT; a sum also tells repeated ids, which cancel each other in bit_xor
+    low, high = F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(h, 32))
+    sums = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("count"), low.alias("low"), high.alias("high")).where("count > 1")
+    met = stored(sums.select("key", "count", F.xxhash64("low", "high").alias("bucket")), "shingle-keys")
+    if fits_broadcast(met):
+        found = keyed.join(F.broadcast(met), "key")
+    else:  # the counts are known: rows of the few heavy keys stay where they are, the others are shuffled
+        total = met.agg(F.sum("count")).first()[0]
+        heavy = F.col("count") * HEAVY_SHARE > F.lit(total)
+        wide = F.broadcast(met.where(heavy))
+        found = keyed.join(wide, "key").unionByName(keyed.join(wide, "key", "left_anti").join(met.where(~heavy), "key"))
+    return found.select("bucket", "count", "doc_id").distinct()
+
+
 def _tiles(df: DataFrame, count: Column) -> DataFrame:
     """Rows of a group of ``count`` documents dealt to tiles of two blocks; one tile for a group of one block."""
     blocks = F.ceil(count / BLOCK).cast("int")
@@ -352,12 +368,8 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     copies = lookup_join(known.select("doc_id", "h1", "h2"), many, ["h1", "h2"]).where("doc_id <> rep").select("doc_id", "h1", "h2").distinct()
     reps = lookup_join(known, stored(copies, "shingle-copies"), ["doc_id", "h1", "h2"], "left_anti")
 
-    # keys that several representatives have; keys with the same documents are one bucket
-    per = W.partitionBy("key")
-    keyed = reps.select("doc_id", F.explode("keys").alias("key")).repartition("key")
-    bucket = F.sum(F.shiftright(F.xxhash64("doc_id"), 8)).over(per)
-    met = keyed.withColumn("count", F.count(F.lit(1)).over(per)).withColumn("bucket", bucket).where("count > 1")
-    met = stored(met.select("bucket", "count", "doc_id").distinct(), "shingle-buckets")
+    # keys that several representatives have
+    met = stored(_buckets(reps.select("doc_id", F.explode("keys").alias("key"))), "shingle-buckets")
     placed = lookup_join(met, sig.select("doc_id", "n", "vec").where("n > 0").dropDuplicates(["doc_id", "vec"]), "doc_id")
     maybe = _grouped(_tiles(placed, F.col("count")), ["bucket", "count", "tile"], _points, _maybe)
     near = stored(components(maybe), "shingle-candidates")
