@@ -31,6 +31,8 @@ _UPPER = bytes(range(65, 91))
 BASE = 1.02  # bins are 2 % wide: quantiles are right to 1 %
 MIN_GROUP = 100  # documents a group needs for a sketch of its own
 SPREAD = 6.0  # an upper fence is the median + SPREAD x (third quartile - median) + slack
+# but that distance counts up to SKEW x (median - first quartile), as the third quartile is junk where a quarter of a group is
+SKEW = 2.0
 
 # measure: (numerator, denominator, slack). The slack keeps a fence off the bulk where the quartiles coincide.
 RATIOS = {
@@ -109,8 +111,9 @@ def _fence(sketch: DataFrame, keys: list[str]) -> DataFrame:
     slack = F.create_map(*[F.lit(x) for k, (_, _, s) in RATIOS.items() for x in (k, s)])
     return (
         ranked.groupBy(*by, "rows")
-        .agg(at(0.5).alias("b50"), at(0.75).alias("b75"))
-        .withColumn("fence", value("b50") + SPREAD * (value("b75") - value("b50")) + slack[F.col("measure")])
+        .agg(at(0.25).alias("b25"), at(0.5).alias("b50"), at(0.75).alias("b75"))
+        .withColumn("upper", F.least(value("b75") - value("b50"), SKEW * (value("b50") - value("b25"))))
+        .withColumn("fence", value("b50") + SPREAD * F.col("upper") + slack[F.col("measure")])
         .select(*by, "rows", "fence")
     )
 

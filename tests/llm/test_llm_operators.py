@@ -384,6 +384,21 @@ def test_fences_catch_outliers_of_their_group(spark):
     assert all(out[i][0] for i in range(300)) and not any(out[1000 + i][0] for i in range(20))
 
 
+@pytest.mark.parametrize("junk", [20, 26, 40, 48])
+def test_fences_of_a_source_with_much_junk(spark, junk):
+    """Junk of several measures in every share up to the half of a source, beside a clean source."""
+    def bad(i):
+        w = words(60, i)
+        if i % 3 == 0:  # symbols, 0.05 to 0.4 of the characters
+            return " ".join(w) + " " + "#" * (10 + i % 90)
+        return " ".join(x.upper() for x in w) if i % 3 == 1 else " ".join(f"{x} {x}" for x in w)
+
+    rows = [(i, bad(i) if i % 100 < junk else text_of(80, i), "en", "hot") for i in range(300)]
+    rows += [(1000 + i, text_of(80, 1000 + i), "en", "clean") for i in range(150)]
+    out = by_id(quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")), "kept")
+    assert {i for i, (k,) in out.items() if not k} == {i for i in range(300) if i % 100 < junk}
+
+
 # --- 8 ---------------------------------------------------------------------------------------
 
 
