@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from metforge.llm import (
-    chat_format, decontaminate, jaccard_join, line_dedup, mixing, quality_model, quality_rules, secrets, suffix_dedup, token_counts,
+    chat_format, clustering, decontaminate, hard_negatives, jaccard_join, line_dedup, mixing, quality_model, quality_rules, secrets, suffix_dedup, token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quality_model.op1_quality_model, line_dedup.op2_line_dedup, secrets.op3_secret_scan, token_counts.op4_token_counts,
         jaccard_join.op5_jaccard_join, decontaminate.op6_decontaminate, quality_rules.op7_quality_rules,
         suffix_dedup.op8_suffix_dedup, mixing.op9_mixing, chat_format.op10_chat_format,
+        hard_negatives.op12_hard_negatives, clustering.op13_centroid_clustering,
     )
 }
 
@@ -152,4 +153,6 @@ ORACLES: dict[str, str] = {
     "op8_suffix_dedup": _SUFFIX,
     "op9_mixing": mixing.SQL,
     "op10_chat_format": chat_format.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_centroid_clustering": clustering.SQL,
 }
