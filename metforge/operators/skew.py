@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,10 +49,12 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "
     run again), the matching ``dim`` rows are repeated once per salt.
     """
     on = list(on)
-    freq = materialize(fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
-    total = freq.agg(F.sum("_n")).first()[0] or 0
+    seen = Observation()
+    counts = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("total"))
+    top = materialize(counts.orderBy(F.desc("_n")).limit(share - 1))  # only these can be heavy, so only these are kept
+    total = seen.get["total"] or 0
     heavy = F.broadcast(
-        freq.where((F.col("_n") * share > total) & (F.col("_n") > share)).select(
+        top.where((F.col("_n") * share > total) & (F.col("_n") > share)).select(
             *on, F.ceil(F.col("_n") * share / F.lit(float(max(total, 1)))).cast("int").alias("_salts")
         )
     )
@@ -71,17 +73,18 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "
 
 
 def lookup_join(
-    fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner", limit: int = BROADCAST_BYTES
+    fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner", limit: int = BROADCAST_BYTES, unique: bool = False
 ) -> DataFrame:
     """``fact`` joined with ``dim``: broadcast when the measured size allows, salted shuffle join beyond.
 
-    ``how`` is inner, left, left_semi or left_anti (``fact`` is the preserved side).
+    ``how`` is inner, left, left_semi or left_anti (``fact`` is the preserved side).  ``unique`` says that no key of
+    ``fact`` has many rows, so that they need not be counted for salts.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join cannot preserve the lookup side: {how}")
     if fits_broadcast(dim, limit):
         return fact.join(F.broadcast(dim), on, how)
-    if fact.isStreaming:  # row counts of a stream are unknown; adaptive execution splits what it can
+    if unique or fact.isStreaming:  # row counts of a stream are unknown; adaptive execution splits what it can
         return fact.join(dim, on, how)
     return salted_join(fact, dim, on, how)
