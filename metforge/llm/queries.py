@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from metforge.llm import (
-    chat_format, clustering, decontaminate, hard_negatives, jaccard_join, line_dedup, mixing, quality_model, quality_rules, secrets, suffix_dedup, token_counts,
+    chat_format, clustering, decontaminate, hard_negatives, jaccard_join, line_dedup, minhash_join, mixing, quality_model, quality_rules, secrets, suffix_dedup, token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,24 +16,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quality_model.op1_quality_model, line_dedup.op2_line_dedup, secrets.op3_secret_scan, token_counts.op4_token_counts,
         jaccard_join.op5_jaccard_join, decontaminate.op6_decontaminate, quality_rules.op7_quality_rules,
         suffix_dedup.op8_suffix_dedup, mixing.op9_mixing, chat_format.op10_chat_format,
-        hard_negatives.op12_hard_negatives, clustering.op13_centroid_clustering,
+        minhash_join.op11_minhash_join, hard_negatives.op12_hard_negatives, clustering.op13_centroid_clustering,
     )
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-_JACCARD = f"""
+def _jaccard(size: int, percent: int) -> str:
+    """Components of the documents whose sets of ``size``-word shingles are similar by ``percent``."""
+    return f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOWER.format("COALESCE(text, '')"))} AS w FROM documents),
 s AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
-  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {size - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - {size - 2})) AS i FROM d WHERE len(w) >= {size})
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND {size - 1}
 ),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 e AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id
   JOIN n AS na ON na.doc_id = a.doc_id JOIN n AS nb ON nb.doc_id = b.doc_id
-  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= {percent} * (na.n + nb.n - count(*))
 ),
 r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
 c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
@@ -41,6 +43,9 @@ SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, c.component_id
 FROM d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
+
+_MINHASH = f"SELECT *, doc_id = component_id AS kept FROM ({_jaccard(4, 80)})"
+
 _PARTS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _DECONTAMINATION = f"""
 WITH d AS (SELECT doc_id, {_PARTS.format(_LOWER.format("COALESCE(text, '')"))} AS w FROM documents),
@@ -147,12 +152,13 @@ FROM d LEFT JOIN a ON a.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
 ORACLES: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
     "op3_secret_scan": secrets.SQL,
-    "op5_jaccard_join": _JACCARD,
+    "op5_jaccard_join": _jaccard(5, 75),
     "op6_decontaminate": _DECONTAMINATION,
     "op7_quality_rules": _QUALITY,
     "op8_suffix_dedup": _SUFFIX,
     "op9_mixing": mixing.SQL,
     "op10_chat_format": chat_format.SQL,
+    "op11_minhash_join": _MINHASH,
     "op12_hard_negatives": hard_negatives.SQL,
     "op13_centroid_clustering": clustering.SQL,
 }
