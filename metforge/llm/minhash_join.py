@@ -4,41 +4,45 @@ A signature has ``SYMBOLS`` values of 16 bits, each the hash of the least shingl
 shingles.  It is split into ``CHUNKS`` chunks of ``LENGTH`` values.  If two signatures differ in at most ``DISTANCE`` values,
 which is less than twice the number of chunks, some chunk differs in one value at most (pigeonhole).  So a document has a
 key for each chunk and each of its values that may be wrong, made of the chunk's other values; all pairs under the
-threshold share a key.  Documents of a similarity of 0.8 differ in 13 values on average, and in more than 31 with a
-probability of 1e-7.  ``MORE`` further values of 8 bits sort out pairs before full sets are compared.
+threshold share a key.  Documents of a similarity of 0.8 differ in 20 of 100 values on average, and in more than 39 with a
+probability of 3e-6, which falls fast above that similarity.  A sketch of 4 bits of each value, and of ``MORE`` others, sorts out
+pairs before full sets are compared.
 
-Equal sets are one class throughout.  What shares a key is linked in three steps, each confirmed on full sets:
+Equal sets are one class throughout.  What shares a key is linked in steps, each confirmed on full sets:
 
 1. each class with the least class of one of its keys, then, where that left two parts, of its other keys;
-2. keys whose documents still lie in different parts are compared pair by pair, by signatures, in tiles of
-   bounded size; pairs inside one part are passed over;
-3. the parts are the components.
+2. under the keys whose classes still lie in different parts, sketches are compared in tiles of bounded size, and a
+   spanning forest joins the parts that may link to candidate groups;
+3. inside a candidate group the full sets of all classes outside its largest part are compared with those of all
+   others, in tiles of bounded bytes.  The parts that result are the components.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metforge.llm.common import LOWER, add_columns, hashed, lists, mixed, slices, small_batches, table, windows
+from metforge.llm.common import LOWER, add_columns, hashed, mixed, slices, small_batches, table, windows
 from metforge.llm.components import components
 from metforge.operators.skew import lookup_join
 from metforge.session import stored
 
 SHINGLE = 4
 PERCENT = 80
-CHUNKS, LENGTH = 16, 4
+CHUNKS, LENGTH = 20, 5
 SYMBOLS = CHUNKS * LENGTH
 DISTANCE = 2 * CHUNKS - 1
-MORE = 128
-# differing values of all: a fifth on average at the threshold, plus five standard deviations
-TOTAL = int((SYMBOLS + MORE) * 0.2 + 5.2 * ((SYMBOLS + MORE) * 0.16) ** 0.5)
+MORE = 92
+SKETCH = (SYMBOLS + MORE) // 2  # bytes
+# differing values of 4 bits at the threshold: 3/16 of all on average, plus 5.2 standard deviations
+APART = int((SYMBOLS + MORE) * 0.1875 + 5.2 * ((SYMBOLS + MORE) * 0.1875 * 0.8125) ** 0.5)
 ORDERS = mixed(np.arange(1, SYMBOLS + MORE + 1, dtype=np.uint64)) | np.uint64(1)  # odd factors, so that each permutes the hashes
-TILE = 1024  # classes of a key in one block
+TILE = 1024  # classes in one block
+TILE_SHINGLES = 500_000  # of the full sets in one block
 AT_ONCE = 256  # classes compared with one in one task
 
 
@@ -53,57 +57,56 @@ def shingles(text: bytes | None) -> np.ndarray:
     return np.unique(windows(h, SHINGLE))
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of ``SYMBOLS`` values of 16 bits and ``MORE`` of 8 bits for each set that is not empty, as bytes."""
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Signature (``SYMBOLS`` values) and sketch (``SKETCH`` bytes) of each set, none of them empty."""
     flat = np.concatenate(sets)
     starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
     least = np.empty((len(sets), SYMBOLS + MORE), np.uint64)
     for k, factor in enumerate(ORDERS):
         least[:, k] = np.minimum.reduceat(flat * factor, starts)
     value = mixed(least)
-    return np.concatenate([value[:, :SYMBOLS].astype("<u2").view(np.uint8), value[:, SYMBOLS:].astype(np.uint8)], axis=1)
+    four = (value & np.uint64(15)).astype(np.uint8)
+    return value[:, :SYMBOLS].astype("<u2"), four[:, ::2] | four[:, 1::2] << 4
 
 
 def _described(texts: list[bytes | None]) -> tuple:
-    """Of each text: number of shingles, two hashes of the set, signature."""
+    """Of each text: number of shingles, two hashes of the set, signature and sketch."""
     sets = [shingles(t) for t in texts]
     full = [s for s in sets if len(s)]
-    rows = iter(signatures(full)) if full else iter(())
+    rows = zip(*signatures(full), strict=True) if full else iter(())
     h = [_name(s) for s in sets]
     g = [int(mixed(s ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64).astype(np.int64)) for s in sets]
-    return [len(s) for s in sets], h, g, [next(rows).tobytes() if len(s) else b"" for s in sets]
+    both = [next(rows) if len(s) else (b"", b"") for s in sets]
+    return [len(s) for s in sets], h, g, [bytes(x) for x, _ in both], [bytes(x) for _, x in both]
 
 
 def _name(s: np.ndarray) -> int:
     return int((mixed(s).sum(dtype=np.uint64) + np.uint64(len(s))).astype(np.int64))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    width = 2 * SYMBOLS + MORE
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
+def _matrix(column: pa.Array, kind: str, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
 
 def chunk_keys(sig: np.ndarray) -> np.ndarray:
-    """Keys of each signature: of every chunk, without each of its values in turn, number of chunk and value in front."""
-    symbols = np.ascontiguousarray(sig[:, : 2 * SYMBOLS]).view("<u2").reshape(-1, CHUNKS, LENGTH).astype(np.uint64)
+    """Keys of each signature: of every chunk, without each of its values in turn, hashed with the number of both."""
+    symbols = sig.reshape(-1, CHUNKS, LENGTH).astype(np.uint64)
     out = np.empty((len(sig), CHUNKS, LENGTH), np.uint64)
     for wrong in range(LENGTH):
-        key = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(LENGTH) + np.uint64(wrong)
-        key = np.broadcast_to(key, (len(sig), CHUNKS))
+        key = np.zeros((len(sig), CHUNKS), np.uint64)
         for i in range(LENGTH):
             if i != wrong:
                 key = key << np.uint64(16) | symbols[:, :, i]
-        out[:, :, wrong] = key
+        place = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(LENGTH) + np.uint64(wrong + 1)
+        out[:, :, wrong] = mixed(mixed(key) + place)
     return out.reshape(len(sig), -1).view(np.int64)
 
 
 def near(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Whether signatures (rows, or one against rows) may belong to sets that link."""
-    sizes = 100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)
-    view = lambda s: np.ascontiguousarray(s[..., : 2 * SYMBOLS]).view("<u2")
-    first = (view(a) != view(b)).sum(-1)
-    rest = (a[..., 2 * SYMBOLS :] != b[..., 2 * SYMBOLS :]).sum(-1)
-    return sizes & (first <= DISTANCE) & (first + rest <= TOTAL)
+    """Whether sketches (rows, or one against rows) may belong to sets that link."""
+    x = a ^ b
+    differ = ((x & 15) != 0).sum(-1) + (x > 15).sum(-1)
+    return (differ <= APART) & (100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b))
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -115,11 +118,11 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _keyed(nodes: DataFrame) -> DataFrame:
-    """``key, h`` of every class; made anew from the signatures each time, as they are a tenth of the keys."""
+    """``key, h`` of every class; made anew from the signatures each time, as these are far smaller than the keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys = chunk_keys(_matrix(batch.column(1)))
+            keys = chunk_keys(_matrix(batch.column(1), "<u2", SYMBOLS))
             h = np.repeat(batch.column(0).to_numpy(), keys.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(h)], names=["key", "h"])
 
@@ -127,19 +130,27 @@ def _keyed(nodes: DataFrame) -> DataFrame:
     return nodes.select("h", "sig").mapInArrow(run, "key bigint, h bigint")
 
 
+def _sketches(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``h, id, n, sketch`` of the classes named in ``wanted``."""
+    return stored(lookup_join(nodes.select("h", "id", "n", "sketch"), wanted.select("h").distinct(), "h", "left_semi", unique=True), "minhash-sketches")
+
+
 def _may_link(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Those of the pairs ``a, b`` whose signatures are near, with the ids of both."""
+    """Those of the pairs ``a, b`` whose sketches are near, with the ids of both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                c = {n: batch.column(n) for n in ("n_a", "n_b", "sig_a", "sig_b")}
-                ok = near(_matrix(c["sig_a"]), _matrix(c["sig_b"]), c["n_a"].to_numpy(), c["n_b"].to_numpy())
+                c = {n: batch.column(n) for n in ("n_a", "n_b", "sketch_a", "sketch_b")}
+                both = [_matrix(c[n], "u1", SKETCH) for n in ("sketch_a", "sketch_b")]
+                ok = near(*both, c["n_a"].to_numpy(), c["n_b"].to_numpy())
                 yield batch.select(["a", "b", "id_a", "id_b"]).filter(pa.array(ok))
 
-    side = lambda c: nodes.select(F.col("h").alias(c), F.col("id").alias(f"id_{c}"), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
+    pairs = stored(pairs, "minhash-met")
+    known = _sketches(nodes, pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))))
+    side = lambda c: known.select(*[F.col(n).alias(c if n == "h" else f"{n}_{c}") for n in ("h", "id", "n", "sketch")])
     both = lookup_join(lookup_join(pairs, side("a"), "a"), side("b"), "b")
-    return both.select("a", "b", "id_a", "id_b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint, id_a bigint, id_b bigint")
+    return both.select("a", "b", "id_a", "id_b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a bigint, b bigint, id_a bigint, id_b bigint")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -192,53 +203,131 @@ def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return out.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).drop("part_a", "part_b")
 
 
-def _mixed_keys(nodes: DataFrame, met: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of different parts with near signatures, under the keys of three or more classes."""
+def _candidates(nodes: DataFrame, met: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links ``a, b`` that join parts which may link, found under the keys of three or more classes."""
     rows = lookup_join(_keyed(nodes), met.where("count > 2").select("key"), "key")
-    rows = lookup_join(rows, parts, "h", "left").select("key", "h", F.coalesce("part", "h").alias("part"))
+    rows = stored(lookup_join(rows, parts, "h", "left").select("key", "h", F.coalesce("part", "h").alias("part")), "minhash-members")
     print_of = F.xxhash64(F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned("h", 32)))  # of the classes in any order
     kinds = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("count"), print_of.alias("bucket"))
     kinds = stored(kinds.where("low <> high").groupBy("bucket", "count").agg(F.min("key").alias("key")), "minhash-mixed")  # equal groups once
-    rows = lookup_join(rows, kinds, "key")
+    rows = stored(lookup_join(rows, kinds, "key"), "minhash-unlike")
     blocks = F.ceil(F.col("count") / TILE).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("h"), blocks.cast("bigint")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    # a tile is a pair of blocks; narrow rows are copied, signatures join them afterwards
-    tiled = rows.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "h", "part")
-    tiled = lookup_join(tiled, nodes.select("h", "n", "sig"), "h").select("bucket", "x", "y", "own", "h", "part", "n", "sig")
-    return tiled.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y").mapInArrow(_tiles, "a bigint, b bigint").distinct()
-
-
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near pairs of each run of rows with the same bucket and blocks; one run in memory at a time."""
-    held: list[pa.RecordBatch] = []
-    now = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        marks = np.stack([batch.column(i).to_numpy() for i in range(3)])
-        cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
-        for first, end in zip(cuts[:-1], cuts[1:], strict=True):
-            mark = tuple(marks[:, first].tolist())
-            if mark != now:
-                yield from _tile(held)
-                held, now = [], mark
-            held.append(batch.slice(first, end - first))
-    yield from _tile(held)
-
-
-def _tile(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    if not held:
-        return
-    rows = pa.Table.from_batches(held).combine_chunks()
-    x, y, own, h, part, n = (rows[c].to_numpy() for c in ("x", "y", "own", "h", "part", "n"))
-    sig = _matrix(rows["sig"].combine_chunks())
-    for i in range(len(h)):
-        # within a block each pair once, between two blocks from the first to the second
-        other = np.flatnonzero((part != part[i]) & ((h > h[i]) if x[i] == y[i] else (own == y[i]) & (own[i] == x[i])))
-        other = other[near(sig[i], sig[other], n[i], n[other])]
-        if len(other):
-            yield pa.RecordBatch.from_arrays([pa.array(h[other]), pa.array(np.full(len(other), h[i]))], names=["a", "b"])
+    # a tile is a pair of blocks; narrow rows are copied, sketches join them afterwards
+    tiled = rows.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "h", "part")
+    tiled = lookup_join(tiled, _sketches(nodes, rows).drop("id"), "h").select("bucket", "x", "y", "h", "part", "n", "sketch")
+
+    def links(tile: pa.Table) -> list[tuple[int, int]]:
+        h, part, n = (tile[c].to_numpy() for c in ("h", "part", "n"))
+        sketch = _matrix(tile["sketch"].combine_chunks(), "u1", SKETCH)
+        forest = Forest(part)
+        for i in forest.outside():
+            other = np.flatnonzero(forest.label != forest.label[i])
+            forest.join(i, other[near(sketch[i], sketch[other], n[i], n[other])])
+        return [(h[i], h[j]) for i, j in forest.links]
+
+    return _tiles(tiled, ["bucket", "x", "y"], links).distinct()
+
+
+class Forest:
+    """Union of parts, with the links that joined them."""
+
+    def __init__(self, part: np.ndarray):
+        _, self.label, counts = np.unique(part, return_inverse=True, return_counts=True)
+        self.largest = counts.argmax()
+        self.links: list[tuple[int, int]] = []
+
+    def outside(self) -> np.ndarray:
+        """Members outside the largest part: a link between two parts has one of them."""
+        return np.flatnonzero(self.label != self.largest)
+
+    def join(self, i: int, others: np.ndarray) -> None:
+        own = self.label[i]
+        labels, first = np.unique(self.label[others], return_index=True)
+        self.links += [(int(i), int(j)) for lab, j in zip(labels, others[first], strict=True) if lab != own]
+        self.label[np.isin(self.label, labels)] = own
+
+
+def _tiles(df: DataFrame, keys: list[str], links: Callable[[pa.Table], list[tuple[int, int]]]) -> DataFrame:
+    """``a, b``: the links of each run of rows with the same keys; one run in memory at a time."""
+    at = [df.columns.index(k) for k in keys]
+
+    def made(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = links(pa.Table.from_batches(held)) if held else []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.stack([batch.column(i).to_numpy() for i in at])
+            cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            for first, end in zip(cuts[:-1], cuts[1:], strict=True):
+                mark = tuple(marks[:, first].tolist())
+                if mark != now:
+                    yield from made(held)
+                    held, now = [], mark
+                held.append(batch.slice(first, end - first))
+        yield from made(held)
+
+    small_batches(df.sparkSession)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint")
+
+
+def _compared(joined: DataFrame, parts: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``a, b`` between parts that ``joined`` puts into one candidate group, on full sets."""
+    member = joined.select(F.col("a").alias("h")).unionByName(joined.select(F.col("b").alias("h"))).distinct()
+    ends = lookup_join(member, parts, "h", "left").select("h", F.coalesce("part", "h").alias("part"))
+    ends = stored(ends, "minhash-ends")
+    between = joined
+    for c in ("a", "b"):
+        between = lookup_join(between, ends.select(F.col("h").alias(c), F.col("part").alias(f"part_{c}")), c)
+    groups = _parts(between.select(F.col("part_a").alias("a"), F.col("part_b").alias("b"))).select(F.col("h").alias("part"), F.col("part").alias("grp"))
+    # all classes of the parts concerned
+    whole = lookup_join(nodes.select("h", "id", "n"), parts, "h", "left", unique=True).withColumn("part", F.coalesce("part", "h"))
+    rows = stored(lookup_join(whole, groups, "part"), "minhash-groups")
+    sizes = rows.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    blocks = lambda c, s: F.ceil(F.greatest(F.col(c) / TILE, F.col(s) / TILE_SHINGLES)).cast("int")
+    totals = sizes.groupBy("grp").agg(F.max(F.struct("c", "s", "part")).alias("top"), F.sum("c").alias("all_c"), F.sum("s").alias("all_s"))
+    totals = totals.select("grp", F.col("top.part").alias("largest"), "all_c", "all_s", (F.col("all_c") - F.col("top.c")).alias("out_c"), (F.col("all_s") - F.col("top.s")).alias("out_s"))
+    totals = stored(totals.select("grp", "largest", blocks("out_c", "out_s").alias("lefts"), blocks("all_c", "all_s").alias("rights")), "minhash-totals")
+    rows = lookup_join(rows, totals, "grp")
+    place = lambda n: F.pmod(F.xxhash64("h"), F.col(n).cast("bigint")).cast("int")
+    outside, single = F.col("part") != F.col("largest"), (F.col("lefts") == 1) & (F.col("rights") == 1)
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    right = F.transform(every("lefts"), lambda i: F.struct(i.alias("x"), place("rights").alias("y"), outside.alias("left")))
+    left = F.transform(every("rights"), lambda i: F.struct(place("lefts").alias("x"), i.alias("y"), F.lit(True).alias("left")))
+    copies = F.when(single | ~outside, right).otherwise(F.concat(left, F.filter(right, lambda t: t["x"] != place("lefts"))))
+    tiled = stored(rows.select("id", "h", "part", "grp", F.explode(copies).alias("t")).select("id", "h", "part", "grp", "t.*"), "minhash-tiled")
+    tiled = lookup_join(texts, tiled, "id", unique=True).select("grp", "x", "y", "left", "h", "part", "text")
+
+    def links(tile: pa.Table) -> list[tuple[int, int]]:
+        sets = [shingles(t) for t in tile["text"].cast(pa.binary()).to_pylist()]
+        h = tile["h"].to_numpy()
+        own = np.flatnonzero([_name(s) == v for s, v in zip(sets, h.tolist(), strict=True)])  # not another row with the same id
+        if len(own) < 2:
+            return []
+        h, sets, left = h[own], [sets[i] for i in own], tile["left"].to_numpy()[own]
+        forest = Forest(tile["part"].to_numpy()[own])
+        sizes = np.array([len(s) for s in sets])
+        _, shingle, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(shingle, kind="stable")]
+        start, first = np.cumsum(counts) - counts, np.cumsum(sizes) - sizes
+        for i in np.flatnonzero(left):
+            if (forest.label == forest.label[i]).all():
+                break
+            mine = shingle[first[i] : first[i] + sizes[i]]
+            many = counts[mine]
+            at = np.repeat(start[mine] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            common = np.bincount(holders[at], minlength=len(sets))
+            forest.join(i, np.flatnonzero((100 * common >= PERCENT * (sizes[i] + sizes - common)) & (forest.label != forest.label[i])))
+        return [(h[i], h[j]) for i, j in forest.links]
+
+    return stored(_tiles(tiled, ["grp", "x", "y"], links), "minhash-compared")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -250,10 +339,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     nothing, has no component and is kept.  Whole texts are compared, of any length.  Other columns are not read.
     """
     texts = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    fields = {"n": "bigint", "h": "bigint", "g": "bigint", "sig": "binary"}
+    fields = {"n": "bigint", "h": "bigint", "g": "bigint", "sig": "binary", "sketch": "binary"}
     rows = stored(add_columns(texts, "text", _described, fields, drop=["text"]), "minhash-signatures")
     known = rows.where("n > 0 AND id IS NOT NULL")
-    nodes = stored(known.groupBy("h", "g", "n").agg(F.min("id").alias("id"), F.first("sig").alias("sig")).drop("g"), "minhash-classes")
+    of_class = [F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")]
+    nodes = stored(known.groupBy("h", "g", "n").agg(*of_class).drop("g"), "minhash-classes")
     texts = texts.where("id IS NOT NULL AND text IS NOT NULL")
 
     met = stored(_keyed(nodes).groupBy("key").agg(F.min("h").alias("b"), F.count(F.lit(1)).alias("count")).where("count > 1"), "minhash-keys")
@@ -261,10 +351,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pairs = stored(_may_link(pairs, nodes), "minhash-near")
     least = pairs.groupBy("a", "id_a").agg(F.min(F.struct("b", "id_b")).alias("m")).select("a", "id_a", "m.*")
     links = _confirmed(least, texts)
-    rest = _confirmed(_across(pairs, _parts(links)), texts)
-    links = links.unionByName(rest)
-    last = _may_link(_mixed_keys(nodes, met, _parts(links)), nodes)
-    links = links.unionByName(_confirmed(last, texts))
+    links = links.unionByName(_confirmed(_across(pairs, _parts(links)), texts))
+    parts = _parts(links)
+    joined = stored(_candidates(nodes, met, parts), "minhash-candidates")
+    links = links.unionByName(_compared(joined, parts, nodes, texts))
 
     parts = _parts(links)
     names = lookup_join(nodes.select("h", "n", "id"), parts, "h", unique=True)
