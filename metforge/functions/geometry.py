@@ -128,7 +128,8 @@ def contains(edge_list: Column, x: Column, y: Column) -> Column:
     return (F.size(crossing) % 2 == 1) & ~on_boundary(edge_list, x, y)
 
 
-def _segments_meet(e: Column, f: Column) -> Column:
+def segments_meet(e: Column | dict[str, Column], f: Column | dict[str, Column]) -> Column:
+    """Whether two closed segments ``ax, ay, bx, by`` share a point."""
     d1, d2 = _cross(e, f["ax"], f["ay"]), _cross(e, f["bx"], f["by"])
     d3, d4 = _cross(f, e["ax"], e["ay"]), _cross(f, e["bx"], e["by"])
     overlap = lambda lo, hi: (F.least(e[lo], e[hi]) <= F.greatest(f[lo], f[hi])) & (
@@ -141,7 +142,7 @@ def _segments_meet(e: Column, f: Column) -> Column:
 
 def intersects(edges_a: Column, edges_b: Column) -> Column:
     """Any shared point: segments that meet, or one polygon inside the other."""
-    meet = F.exists(edges_a, lambda e: F.exists(edges_b, lambda f: _segments_meet(e, f)))
+    meet = F.exists(edges_a, lambda e: F.exists(edges_b, lambda f: segments_meet(e, f)))
     return meet | contains(edges_b, edges_a[0]["ax"], edges_a[0]["ay"]) | contains(
         edges_a, edges_b[0]["ax"], edges_b[0]["ay"]
     )

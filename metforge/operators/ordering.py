@@ -55,118 +55,94 @@ def group_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     return lookup_join(rows, starts, keys).withColumn(name, F.col(name) - F.col("_first") + 1).drop("_first")
 
 
-DIRECT_ROWS = 5_000_000  # up to here a full sort is cheaper than narrowing
-NARROW_GROUPS = 10_000  # above this, groups are small and sketches of them are not
-GRID = 256
+OCTAVE = 128  # bins between a number and its double
+OFFSET = 1100 * OCTAVE  # beyond the number of the least positive double
+FINE = 4096  # bins of a refinement
+AT_ONCE = 65536  # different values of one bin that are put in order by one task
+
+
+def value_bin(v: Column) -> Column:
+    """Number of a logarithmic bin; never falls when the value grows.  NaN comes last, as in Spark's order."""
+    d = v.cast("double")
+    size = F.floor(F.log2(F.abs(d)) * F.lit(float(OCTAVE))) + F.lit(OFFSET)
+    size = F.when(F.abs(d) == float("inf"), F.lit(4 * OFFSET).cast("bigint")).otherwise(size)
+    return F.when(F.isnan(d), F.lit(8 * OFFSET).cast("bigint")).when(d == 0, F.lit(0).cast("bigint")).when(d > 0, size).otherwise(-size)
 
 
 def order_statistics(
-    df: DataFrame, group: Sequence[str], value: str, positions: Callable[[Column], dict[str, Column]]
+    df: DataFrame, group: Sequence[str], value: str, positions: Callable[[Column], dict[str, Column]], mean: str | None = None
 ) -> DataFrame:
     """Values at given 0-based positions of each group's sorted values, exactly.
 
-    ``positions`` maps the group's count to ``{output column: position}``.  Large inputs in
-    few groups are first narrowed to the neighbourhood of the wanted positions, so that
-    only about a hundredth of the rows per position is sorted.
-    Result: ``group columns, n, output columns``.
+    ``positions`` maps the group's count to ``{output column: position}``.  Result: ``group columns, n, output columns``, and
+    the mean under the name ``mean`` if given.
+
+    Two scans at any size: the first counts the values of each group by logarithmic bin, the second takes the bins
+    that hold a wanted position, equal values combined.  Bins of more than ``AT_ONCE`` different values are cut
+    into ``FINE`` parts of their own range, again and again, before a task puts one in order.  All counts are combined on the map side.
     """
     keys = list(group) or ["_all"]
     df = df if group else df.withColumn("_all", F.lit(0))
     names = list(positions(F.lit(1)))
-    clean = df.where(F.col(value).isNotNull()).select(*keys, value)
-    totals = materialize(clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    clean = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    bins = stored(clean.withColumn("_bin", value_bin(F.col("_v"))).groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_sum")), "value-bins")
+    means = [(F.sum("_sum") / F.sum("_n")).alias(mean)] if mean else []
+    totals = bins.groupBy(*keys).agg(F.sum("_n").alias("n"), *means)
     at = [F.struct(F.lit(k).alias("_name"), c.cast("bigint").alias("_pos")) for k, c in positions(F.col("n")).items()]
-    wanted = totals.select(*keys, F.explode(F.array(*at)).alias("_w")).select(*keys, "_w.*")
-    size = totals.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).first()
-
-    narrowed = None
-    if (size["rows"] or 0) > DIRECT_ROWS and size["groups"] <= NARROW_GROUPS:
-        narrowed = _narrow(clean, keys, value, totals, wanted, names)
-    rows, wanted = narrowed or (clean, wanted)
-
-    found = _pick(rows, keys, value, wanted)
-    out = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == k, F.col(value))).alias(k) for k in names])
+    wanted = totals.select(*keys, F.inline(F.array(*at)))
+    held = stored(_holding(bins.drop("_sum"), keys, [], wanted), "wanted-bins")  # one row per group and position
+
+    near = lookup_join(clean.withColumn("_bin", value_bin(F.col("_v"))), held.select(*keys, "_bin").distinct(), [*keys, "_bin"])
+    near = stored(near.groupBy(*keys, "_bin", "_v").agg(F.count(F.lit(1)).alias("_n")), "wanted-values")
+    near, held = _refined(near, keys, held)
+    through = W.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
+    ranked = near.withColumn("_through", F.sum("_n").over(through))
+    hit = (F.col("_pos") < F.col("_through")) & (F.col("_pos") >= F.col("_through") - F.col("_n"))
+    found = lookup_join(ranked, held, [*keys, "_bin"]).where(hit)
+    out = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == k, F.col("_v"))).alias(k) for k in names])
     out = totals.join(out, keys, "left")
     return out if group else out.drop("_all")
 
 
-def _narrow(
-    clean: DataFrame, keys: Sequence[str], value: str, totals: DataFrame, wanted: DataFrame, names: Sequence[str]
-) -> tuple[DataFrame, DataFrame] | None:
-    """Rows near the wanted positions, and the positions counted among those rows only.
+def _holding(bins: DataFrame, keys: Sequence[str], inside: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """``wanted`` with the ``_bin`` that holds each position, and the position counted inside it.
 
-    A sketch gives an interval for each position.  Exact counts then say how many rows lie
-    below it; if an interval does not hold its position after all, None is returned.
+    ``bins`` is ``keys, inside, _bin, _n``; there are at most a few hundred thousand bins of a group, and a row for each.
     """
-    v = F.col(value)
-    grid = F.percentile_approx(v, [i / GRID for i in range(GRID + 1)], 10_000)
-    sketch = clean.groupBy(*keys).agg(grid.alias("_q")).join(totals, list(keys))
-    step = F.floor(F.col("_pos") * GRID / F.col("n")).cast("int")
-    low = F.when(step >= 2, F.element_at("_q", step))
-    high = F.when(step + 3 <= GRID, F.element_at("_q", step + 4))
-    spans = wanted.join(sketch, list(keys)).withColumn("_lo", low).withColumn("_hi", high)
-    # one row per group: an open end is null
-    side = materialize(
-        spans.groupBy(*keys).agg(
-            *[
-                F.max(F.when(F.col("_name") == k, F.col(c))).alias(f"{c}_{k}")
-                for k in names
-                for c in ("_pos", "_lo", "_hi")
-            ]
-        )
-    )
-    below = lambda k: F.coalesce(v < F.col(f"_lo_{k}"), F.lit(False))
-    above = lambda k: F.coalesce(v > F.col(f"_hi_{k}"), F.lit(False))
-    joined = lookup_join(clean, side, list(keys))
-    near = reduce(lambda x, y: x | y, [~below(k) & ~above(k) for k in names])
-    counts = materialize(
-        joined.groupBy(*keys).agg(
-            *[F.count_if(below(k)).alias(f"_b_{k}") for k in names],
-            *[F.count_if(~above(k)).alias(f"_u_{k}") for k in names],
-            *[F.count_if(below(k) & ~near).alias(f"_x_{k}") for k in names],
-        )
-    ).join(side, list(keys))
-    holds = [(F.col(f"_pos_{k}") >= F.col(f"_b_{k}")) & (F.col(f"_pos_{k}") < F.col(f"_u_{k}")) for k in names]
-    if not counts.where(~reduce(lambda x, y: x & y, holds)).isEmpty():
-        return None
-    moved = F.array(
-        *[F.struct(F.lit(k).alias("_name"), (F.col(f"_pos_{k}") - F.col(f"_x_{k}")).alias("_pos")) for k in names]
-    )
-    return joined.where(near).select(*keys, value), counts.select(*keys, F.explode(moved).alias("_w")).select(*keys, "_w.*")
-
-
-def _pick(df: DataFrame, keys: Sequence[str], value: str, wanted: DataFrame) -> DataFrame:
-    """``(keys, _name, value)`` at the positions of ``wanted`` (``keys, _name, _pos``).
-
-    Equal values are combined before the sort; only partitions that hold a wanted
-    position are read again.
-    """
-    keys = list(keys)
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    rows = range_sorted(counts, [*keys, value])
-    earlier = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
-    summary = (
-        rows.groupBy(*keys, PART)
-        .agg(F.sum("_n").alias("_part_n"))
-        .withColumn("_before", F.coalesce(F.sum("_part_n").over(earlier), F.lit(0)))
-    )
-    local = F.col("_pos") - F.col("_before")
-    located = (
-        summary.join(wanted, keys)
-        .where((local >= 0) & (local < F.col("_part_n")))
-        .select(*keys, PART, "_name", local.alias("_local"))
-    )
-    running = F.sum("_n").over(W.partitionBy(*keys, PART).orderBy(PLACE).rowsBetween(W.unboundedPreceding, 0))
-    hit = rows.join(located.select(*keys, PART).distinct(), [*keys, PART], "left_semi").withColumn("_through", running)
-    return (
-        hit.join(located, [*keys, PART])
-        .where((F.col("_local") < F.col("_through")) & (F.col("_local") >= F.col("_through") - F.col("_n")))
-        .select(*keys, "_name", value)
-    )
-
-
-def quantiles(df: DataFrame, group: Sequence[str], value: str, probabilities: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation between neighbours."""
+    by = [*keys, *inside]
+    upto = F.sum("_n").over(W.partitionBy(*by).orderBy("_bin").rowsBetween(W.unboundedPreceding, 0))
+    placed = bins.withColumn("_upto", upto)
+    inner = lookup_join(placed, wanted, by, unique=True)
+    local = F.col("_pos") - (F.col("_upto") - F.col("_n"))
+    return inner.where((local >= 0) & (F.col("_pos") < F.col("_upto"))).select(*by, "_bin", "_name", local.alias("_pos"))
+
+
+def _refined(near: DataFrame, keys: Sequence[str], held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same with the bins of too many values cut finer.  Each round divides a bin's range by ``FINE``."""
+    while True:
+        by = [*keys, "_bin"]
+        shape = near.groupBy(*by).agg(F.count(F.lit(1)).alias("_values"), F.min("_v").cast("double").alias("_low"), F.max("_v").cast("double").alias("_high"))
+        # a bin whose ends are equal as doubles cannot be cut; it holds few whole numbers beyond 2**53
+        wide = shape.where((F.col("_values") > AT_ONCE) & (F.col("_high") > F.col("_low"))).select(*by, "_low", "_high")
+        if wide.isEmpty():
+            return near, held
+        wide = stored(wide, "wide-bins")
+        share = (F.col("_v").cast("double") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)  # halves, as the range may not be a double
+        cut = lookup_join(near, wide, by).withColumn("_fine", F.least(F.floor(share * FINE), F.lit(FINE - 1)).cast("bigint")).drop("_low", "_high")
+        bins = cut.groupBy(*by, "_fine").agg(F.sum("_n").alias("_n")).withColumnRenamed("_bin", "_old").withColumnRenamed("_fine", "_bin")
+        finer = _holding(bins, keys, ["_old"], lookup_join(held, wide.select(*by), by, "left_semi").withColumnRenamed("_bin", "_old"))
+        # bins are numbered anew, so that old and new ones are told apart
+        name = lambda old, new: F.xxhash64(old, new)
+        finer = stored(finer.select(*keys, name(F.col("_old"), F.col("_bin")).alias("_bin"), "_name", "_pos"), "finer-positions")
+        rows = cut.withColumn("_bin", name(F.col("_bin"), F.col("_fine"))).drop("_fine")
+        rows = lookup_join(rows, finer.select(*by).distinct(), by)
+        kept = lookup_join(near, wide.select(*by), by, "left_anti")
+        near = stored(kept.unionByName(rows.select(*kept.columns)), "finer-values")
+        held = stored(lookup_join(held, wide.select(*by), by, "left_anti").unionByName(finer.select(*held.columns)), "finer-held")
+
+
+def quantiles(df: DataFrame, group: Sequence[str], value: str, probabilities: dict[str, float], mean: str | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation between neighbours, and the mean if it is given a name."""
     def at(n: Column) -> dict[str, Column]:
         out = {}
         for name, p in probabilities.items():
@@ -174,8 +150,8 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, probabilities: di
             out[f"_{name}_lo"], out[f"_{name}_hi"] = F.floor(pos), F.ceil(pos)
         return out
 
-    stats = order_statistics(df, group, value, at)
-    cols = []
+    stats = order_statistics(df, group, value, at, mean)
+    cols = [F.col(mean)] if mean else []
     for name, p in probabilities.items():
         lo, hi, pos = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.lit(p) * (F.col("n") - 1)
         cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))

@@ -22,10 +22,8 @@ OUTSIDE_LIMIT = 0.1
 
 def variable_stats(df: DataFrame, variable: str = "variable", value: str = "value") -> DataFrame:
     """Mean and the 1st and 99th percentile (exact, linear between neighbours) as mean, min, max."""
-    clean = df.select(variable, physics.nan_to_null(F.col(value)).alias("_v"))
-    means = clean.groupBy(variable).agg(F.avg("_v").alias("mean"))
-    tails = quantiles(clean, [variable], "_v", {"min": 0.01, "max": 0.99}).drop("n")
-    return means.join(tails, variable, "left")
+    clean = df.select(variable, physics.nan_to_null(F.col(value)).alias("_value"))
+    return quantiles(clean, [variable], "_value", {"min": 0.01, "max": 0.99}, mean="mean").drop("n")
 
 
 def range_report(

@@ -1,8 +1,7 @@
-"""Spatial joins through grid keys.
+"""Spatial joins: containment, shares, intersection and nearest cells.
 
-Containment and intersection are equi-joins on the key of a square bucket, refined by
-bounding box and then by the exact predicate.  The bucket size doubles with the extent
-of a polygon, so that no polygon has more than about a hundred keys.
+What polygons need is computed edge by edge in :mod:`metforge.operators.polygons`; this module knows the tables
+of geometries (``gid, geom_type, rings``) and cells.
 """
 
 from __future__ import annotations
@@ -12,55 +11,19 @@ from pyspark.sql import functions as F
 
 from metforge.functions import geometry as geo
 from metforge.functions.labels import cell_label
+from metforge.operators import polygons
 from metforge.operators.ordering import nearest_values
 from metforge.operators.skew import lookup_join
 from metforge.session import materialize
 
-KEYS_PER_SIDE = 8
-BOX = ["min_x", "min_y", "max_x", "max_y"]
-
-
 def with_shape(geoms: DataFrame, rings: str = "rings") -> DataFrame:
-    """Add the boundary segments and the bounding box that the predicates need."""
-    out = geoms.withColumn("edges", geo.edges(F.col(rings))).withColumn("_b", geo.bounds(F.col(rings)))
+    """Add the bounding box."""
+    out = geoms.withColumn("_b", geo.bounds(F.col(rings)))
     return out.select(*[c for c in out.columns if c != "_b"], "_b.*")
 
 
-def _bucket(level: Column, base: float) -> Column:
-    return F.lit(base) * F.pow(F.lit(2.0), level)
-
-
-def _with_level(shapes: DataFrame, base: float) -> DataFrame:
-    extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), F.lit(base))
-    level = F.ceil(F.log2(extent / F.lit(base * KEYS_PER_SIDE))).cast("int")
-    return shapes.withColumn("_level", F.greatest(F.lit(0), level))
-
-
-def _covering_keys(df: DataFrame, base: float) -> DataFrame:
-    """One row per bucket touched by the bounding box at the row's own level."""
-    size = _bucket(F.col("_level"), base)
-    span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size)))
-    return df.withColumn("_kx", span("min_x", "max_x")).withColumn("_ky", span("min_y", "max_y"))
-
-
-def _levels(shapes: DataFrame, column: str = "_level") -> list[int]:
-    """Levels in use: binary orders of magnitude of the extents, so a few dozen integers."""
-    return sorted(r[0] for r in shapes.select(column).distinct().collect())
-
-
-def _centres_in_boxes(cells: DataFrame, boxes: DataFrame, cell_id: str, gid: str, x: str, y: str, base: float) -> DataFrame:
-    """``(cell_id, gid, _x, _y)`` of the centres inside the bounding boxes of ``boxes``, each pair once."""
-    level = F.col("_level")
-    levels = _levels(boxes) or [0]
-    keyed = (
-        cells.select(cell_id, F.col(x).alias("_x"), F.col(y).alias("_y"))
-        .withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels])))
-        .withColumn("_kx", F.floor(F.col("_x") / _bucket(level, base)))
-        .withColumn("_ky", F.floor(F.col("_y") / _bucket(level, base)))
-    )
-    buckets = _covering_keys(boxes.select(gid, *BOX, "_level"), base)
-    in_box = F.col("_x").between(F.col("min_x"), F.col("max_x")) & F.col("_y").between(F.col("min_y"), F.col("max_y"))
-    return lookup_join(keyed, buckets, ["_level", "_kx", "_ky"]).where(in_box).select(cell_id, gid, "_x", "_y")
+def _polygon_edges(geoms: DataFrame, gid: str) -> DataFrame:
+    return polygons.edge_table(geoms.where(F.col("geom_type") != "Point"), gid)
 
 
 def cells_in_polygons(
@@ -72,30 +35,15 @@ def cells_in_polygons(
     ``cells`` has one row per cell; ``resolution`` is the typical distance of centres and
     only affects speed.
     """
-    shapes = _with_level(with_shape(geoms.where(F.col("geom_type") != "Point")), resolution)
-    shapes = materialize(shapes.select(gid, "edges", *BOX, "_level"))
-    candidates = _centres_in_boxes(cells, shapes, cell_id, gid, x, y, resolution)
-    inside = geo.contains(F.col("edges"), F.col("_x"), F.col("_y"))
-    return lookup_join(candidates, shapes.select(gid, "edges"), gid).where(inside).select(cell_id, gid)
+    centres = cells.select(cell_id, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    return polygons.points_in_polygons(centres, _polygon_edges(geoms, gid), cell_id, gid, resolution)
 
 
 def overlap_weights(
     cells: DataFrame, geoms: DataFrame, resolution: float, cell_id: str = "cell_id", gid: str = "gid", x: str = "lon", y: str = "lat"
 ) -> DataFrame:
     """``(cell_id, gid, w)``: share of each square cell that lies in the polygon, where positive."""
-    half = resolution / 2.0
-    # a cell touches a polygon only if its centre lies in the box grown by half a cell
-    grown = with_shape(geoms.where(F.col("geom_type") != "Point"))
-    for lo, hi in (("min_x", "max_x"), ("min_y", "max_y")):
-        grown = grown.withColumn(lo, F.col(lo) - half).withColumn(hi, F.col(hi) + half)
-    grown = materialize(_with_level(grown.select(gid, "rings", *BOX), resolution))
-    candidates = _centres_in_boxes(cells, grown, cell_id, gid, x, y, resolution)
-    clipped = lookup_join(candidates, grown.select(gid, "rings"), gid)
-    px, py = F.col("_x"), F.col("_y")
-    for axis, limit, above in (("x", px - half, True), ("x", px + half, False), ("y", py - half, True), ("y", py + half, False)):
-        clipped = clipped.withColumn("rings", F.transform("rings", lambda r: geo.clip_half_plane(r, axis, limit, above)))
-    weight = geo.area(geo.edges(F.col("rings"))) / F.lit(resolution * resolution)
-    return clipped.select(cell_id, gid, weight.alias("w")).where(F.col("w") > 0)
+    return polygons.cell_shares(cells, _polygon_edges(geoms, gid), resolution, cell_id, gid, x, y)
 
 
 def box_subset(
@@ -151,39 +99,18 @@ def polygon_mask(
 def intersecting(
     left: DataFrame, right: DataFrame, gid: str = "pid", right_gid: str = "gid", resolution: float = 1.0
 ) -> DataFrame:
-    """Rows of ``left`` (polygons) that share a point with any polygon of ``right``."""
-    a = _with_level(with_shape(left), resolution)
-    b = _with_level(with_shape(right), resolution)
-    level_rows = materialize(b.select(F.col(right_gid).alias("_rid"), "edges", *BOX, "_level"))
-    levels = _levels(level_rows) or [0]
-    small = materialize(a.select(gid, "edges", *BOX))
-    # both sides are keyed at the level of the right polygon, or at the left one's if coarser
-    left_level = _with_level(small, resolution).withColumnRenamed("_level", "_own")
-    left_keys = _covering_keys(
-        left_level.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels])))
-        .withColumn("_right_level", F.col("_level"))
-        .withColumn("_level", F.greatest("_level", "_own"))
-        .drop("edges", "_own"),
-        resolution,
-    )
-    own_levels = _levels(left_level, "_own") or [0]
-    right_keys = _covering_keys(
-        level_rows.drop("edges")
-        .withColumn("_right_level", F.col("_level"))
-        .withColumn("_level", F.explode(F.array_distinct(F.array(*[F.greatest(F.col("_level"), F.lit(v)) for v in own_levels])))),
-        resolution,
-    ).select("_rid", "_right_level", "_level", "_kx", "_ky", *[F.col(c).alias(f"_r_{c}") for c in BOX])
-    overlap = (
-        (F.col("min_x") <= F.col("_r_max_x")) & (F.col("_r_min_x") <= F.col("max_x"))
-        & (F.col("min_y") <= F.col("_r_max_y")) & (F.col("_r_min_y") <= F.col("max_y"))
-    )
-    pairs = (
-        lookup_join(left_keys, right_keys, ["_right_level", "_level", "_kx", "_ky"]).where(overlap).select(gid, "_rid").distinct()
-    )
-    with_left = lookup_join(pairs, small.select(gid, F.col("edges").alias("_le")), gid)
-    with_both = lookup_join(with_left, level_rows.select("_rid", F.col("edges").alias("_re")), "_rid")
-    hits = with_both.where(geo.intersects(F.col("_le"), F.col("_re"))).select(gid).distinct()
-    return lookup_join(left, materialize(hits), gid, "left_semi")
+    """Rows of ``left`` (polygons) that share a point with any polygon of ``right``.
+
+    Their boundaries meet, or else a ring of one lies wholly inside the other.
+    """
+    a = left.select(F.col(gid).alias("_lid"), "rings")
+    b = right.select(F.col(right_gid).alias("_rid"), "rings")
+    left_edges, right_edges = (materialize(polygons.edge_table(g, i)) for g, i in ((a, "_lid"), (b, "_rid")))
+    met = polygons.meeting(left_edges, right_edges, "_lid", "_rid", resolution)
+    within = polygons.points_in_polygons(polygons.ring_starts(a, "_lid"), right_edges, "_lid", "_rid", resolution)
+    around = polygons.points_in_polygons(polygons.ring_starts(b, "_rid"), left_edges, "_rid", "_lid", resolution)
+    hits = met.select("_lid").unionByName(within.select("_lid")).unionByName(around.select("_lid")).distinct()
+    return lookup_join(left, materialize(hits.withColumnRenamed("_lid", gid)), gid, "left_semi")
 
 
 def grid_index(c: Column, origin: float, step: float) -> Column:

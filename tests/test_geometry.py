@@ -2,6 +2,7 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -191,3 +192,80 @@ def test_no_polygons_no_cells(spark):
 
 def test_scale(spark):
     assert zonal.sampling_scale_m("native") == 11132 and zonal.sampling_scale_m(5) == 11132 and zonal.sampling_scale_m(20000) == 20000
+
+
+def plain_inside(ring, x, y):
+    """Even-odd test of many points against one ring, without the boundary."""
+    inside, on = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    for (ax, ay), (bx, by) in zip(ring[:-1], ring[1:]):
+        turn = (bx - ax) * (y - ay) - (x - ax) * (by - ay)
+        inside ^= ((ay > y) != (by > y)) & ((turn > 0) == (by > ay)) & (turn != 0)
+        on |= (turn == 0) & (x >= min(ax, bx)) & (x <= max(ax, bx)) & (y >= min(ay, by)) & (y <= max(ay, by))
+    return inside & ~on
+
+
+def ring_rows(spark, rings):
+    rows = [(g, "Polygon", [[(float(x), float(y)) for x, y in r] for r in parts]) for g, parts in rings.items()]
+    return spark.createDataFrame(rows, "gid string, geom_type string, rings array<array<struct<x:double,y:double>>>")
+
+
+def closed(points):
+    return [*points, points[0]]
+
+
+def jagged_rings(seed):
+    """Rings whose vertices and edges lie on rows, on points, between them, and on one another's lines."""
+    rng = np.random.default_rng(seed)
+    angle = np.sort(rng.random(40)) * 2 * np.pi
+    star = closed([(10 + r * np.cos(a), 10 + r * np.sin(a)) for a, r in zip(angle, rng.uniform(2, 9, 40))])
+    steps = closed([(2, 2), (9, 2), (9, 5), (12, 5), (12, 2), (18, 2), (18, 11), (12, 11), (12, 14), (9, 14), (9, 11), (5, 17), (2, 11)])
+    diamond = closed([(18, 10), (10, 18), (2, 10), (10, 2)])
+    whole = closed([(float(x), float(y)) for x, y in rng.integers(0, 20, (9, 2))])  # crosses itself
+    return {"star": [star], "steps": [steps], "diamond": [diamond], "whole": [whole]}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("scattered", [False, True])
+def test_points_in_jagged_rings(spark, seed, scattered):
+    rings = jagged_rings(seed)
+    rng = np.random.default_rng(seed + 10)
+    x, y = (rng.uniform(-1, 21, (2, 400)) if scattered else np.array([(a, b) for a in range(21) for b in range(21)], float).T)
+    cells = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))] + [(-1, None, 1.0), (-2, float("nan"), 1.0)], "cell_id int, lon double, lat double")
+    got = {tuple(r) for r in spatial.cells_in_polygons(cells, ring_rows(spark, rings)).collect()}
+    want = {(int(i), g) for g, (ring,) in rings.items() for i in np.flatnonzero(plain_inside(ring, x, y))}
+    assert got == want
+
+
+def test_shares_of_cells_against_clipping(spark):
+    star = jagged_rings(4)["star"][0]
+    hole = closed([(8.2, 8.7), (8.9, 10.6), (10.4, 10.1), (10.8, 8.3)])  # clockwise
+    wide = closed([(-3.3, -2.0), (22.5, -2.0), (22.5, 22.25), (-3.3, 21.1)])
+    geoms = ring_rows(spark, {"star": [star], "holed": [wide, hole], "box": [closed([(0.5, 0.5), (3.5, 0.5), (3.5, 2.5), (0.5, 2.5)])]})
+    cells = spark.createDataFrame([(i, float(i % 21), float(i // 21)) for i in range(441)], "cell_id int, lon double, lat double")
+    got = {(r["cell_id"], r["gid"]): r["w"] for r in spatial.overlap_weights(cells, geoms, 1.0).collect()}
+    both = cells.crossJoin(geoms)
+    for axis, c, above in (("x", F.col("lon") - 0.5, True), ("x", F.col("lon") + 0.5, False), ("y", F.col("lat") - 0.5, True), ("y", F.col("lat") + 0.5, False)):
+        both = both.withColumn("rings", F.transform("rings", lambda r: geo.clip_half_plane(r, axis, c, above)))
+    want = {(r["cell_id"], r["gid"]): r["w"] for r in both.select("cell_id", "gid", geo.area(geo.edges(F.col("rings"))).alias("w")).collect() if r["w"] > 1e-9}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_cells_beside_the_lattice_are_an_error(spark):
+    cells = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.3, 0.0)], "cell_id int, lon double, lat double")
+    with pytest.raises(Exception, match="lattice"):
+        spatial.overlap_weights(cells, ring_rows(spark, {"a": [closed([(-1, -1), (3, -1), (3, 3), (-1, 3)])]}), 1.0).collect()
+
+
+def test_a_part_inside_and_a_crossing_without_vertices(spark):
+    square = lambda x, y, h: closed([(x - h, y - h), (x + h, y - h), (x + h, y + h), (x - h, y + h)])
+    left = ring_rows(spark, {"around": [square(0, 0, 50)], "cross": [closed([(-60, -1), (60, -1), (60, 1), (-60, 1)])], "far": [square(500, 0, 3)], "touch": [square(14, 14, 4)]})
+    right = ring_rows(spark, {"r": [square(5, 5, 5), square(300, 300, 1)]})
+    got = {r["gid"] for r in spatial.intersecting(left, right, gid="gid").select("gid").collect()}
+    assert got == {"around", "cross", "touch"}
+
+
+def test_ring_never_joins_with_cells(spark):
+    cells = spark.createDataFrame([(1, 0.0, 0.0)], "cell_id int, lon double, lat double")
+    out = spatial.cells_in_polygons(cells, ring_rows(spark, jagged_rings(1)))
+    assert "array<" not in out._jdf.queryExecution().toString()

@@ -36,16 +36,15 @@ def test_quantiles_match_numpy(spark, p):
 
 
 @pytest.mark.parametrize("spread", ["uniform", "ties", "one value", "heavy tail"])
-def test_narrowed_quantiles_match_numpy(spark, monkeypatch, spread):
-    monkeypatch.setattr(ordering, "DIRECT_ROWS", 0)
-    used = []
-    narrow = ordering._narrow
-    monkeypatch.setattr(ordering, "_narrow", lambda *a: used.append(narrow(*a)) or used[-1])
+@pytest.mark.parametrize("at_once", [65536, 20])
+def test_refined_quantiles_match_numpy(spark, monkeypatch, spread, at_once):
+    monkeypatch.setattr(ordering, "AT_ONCE", at_once)
+    monkeypatch.setattr(ordering, "FINE", 16)
     rng = np.random.default_rng(4)
     n = 30_000
     v = {
-        "uniform": rng.random(n),
-        "ties": rng.integers(0, 5, n).astype(float),
+        "uniform": rng.random(n) + 250,
+        "ties": rng.integers(-2, 3, n).astype(float),
         "one value": np.full(n, 3.0),
         "heavy tail": np.exp(rng.normal(0, 4, n)) * rng.choice([-1, 1], n),
     }[spread]
@@ -54,21 +53,24 @@ def test_narrowed_quantiles_match_numpy(spark, monkeypatch, spread):
 
     pdf = pd.DataFrame({"k": groups, "v": v})
     probs = {"a": 0.0, "b": 0.01, "c": 0.5, "d": 0.99, "e": 1.0}
-    got = {r["k"]: r for r in ordering.quantiles(spark.createDataFrame(pdf), ["k"], "v", probs).collect()}
+    got = {r["k"]: r for r in ordering.quantiles(spark.createDataFrame(pdf), ["k"], "v", probs, mean="m").collect()}
     for k, g in pdf.groupby("k"):
-        assert got[k]["n"] == len(g)
+        assert got[k]["n"] == len(g) and got[k]["m"] == pytest.approx(g["v"].mean(), rel=1e-9)
         for name, p in probs.items():
             assert got[k][name] == pytest.approx(np.percentile(g["v"], p * 100), rel=1e-12, abs=1e-12)
-    assert used[0] is not None
-    if spread == "uniform":
-        assert used[0][0].count() < n / 5
 
 
-def test_wrong_sketch_falls_back_to_the_full_sort(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "DIRECT_ROWS", 0)
-    monkeypatch.setattr(ordering.F, "percentile_approx", lambda c, p, a: F.array(*[F.lit(-1.0)] * len(p)))
-    df = spark.range(1000).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("v"))
-    assert ordering.quantiles(df, ["k"], "v", {"q": 0.5}).first()["q"] == 499.5
+def test_value_bins_never_fall(spark):
+    rng = np.random.default_rng(2)
+    v = np.concatenate([np.exp(rng.normal(0, 200, 5000)) * rng.choice([-1, 1], 5000), [0.0, -0.0, 5e-324, -5e-324, np.inf, -np.inf, 1.7e308]])
+    df = spark.createDataFrame([(float(x),) for x in v] + [(float("nan"),)], "v double").select("v", ordering.value_bin(F.col("v")).alias("b"))
+    bins = [r["b"] for r in df.orderBy("v").collect()]
+    assert bins == sorted(bins) and bins[-1] > bins[-2]
+
+
+def test_order_statistics_without_rows(spark):
+    df = spark.createDataFrame([], "k string, v double")
+    assert ordering.quantiles(df, ["k"], "v", {"q": 0.5}).collect() == []
 
 
 def test_quantiles_without_group_ignore_nulls(spark):
