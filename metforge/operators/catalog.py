@@ -83,12 +83,23 @@ def in_window(df: DataFrame, first: str, last: str) -> DataFrame:
     return df.where(cond)
 
 
-def long_table(df: DataFrame, variables: Sequence[str], path: str = "path") -> DataFrame:
-    """Gridded variables to ``(date, lon, lat, value, var, model, ssp)``.
+GRID = ("time", "lat", "lon")
+
+
+def gridded_variables(df: DataFrame) -> list[str]:
+    """Columns that have a time, lat or lon dimension by their metadata (see :func:`metforge.sources.sinks.gridded`)."""
+    return [f.name for f in df.schema.fields if set(GRID) & set(f.metadata.get("dimensions", ())) and f.name not in GRID]
+
+
+def long_table(df: DataFrame, variables: Sequence[str] | None = None, path: str = "path") -> DataFrame:
+    """Gridded variables to ``(date, lon, lat, value, var, model, ssp)``; without a list, all that the files name.
 
     Model and scenario come from the file name; dates are ISO text because they may lie
     on a calendar without a Spark type.
     """
+    variables = gridded_variables(df) if variables is None else list(variables)
+    if not variables:
+        raise ValueError("no gridded variables: name them, or write the table with their dimensions")
     iso = temporal.civil_iso(F.col("year"), F.col("month"), F.col("day"), F.col("second"))
     wide = df.select(
         iso.alias("date"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,10 @@ from metforge.functions import geometry as geo
 from metforge.functions import temporal
 from metforge.functions.physics import nan_to_null
 from metforge.operators import projection
+from metforge.operators.skew import lookup_join
+from metforge.session import materialize
+from metforge.sources import sinks
+from metforge.sources.sinks import site_bucket
 
 
 def hourly_schema(id_col: str = "gid", bands: Sequence[str] = tuple(dims.REQUIRED_BANDS)) -> T.StructType:
@@ -20,18 +24,50 @@ def hourly_schema(id_col: str = "gid", bands: Sequence[str] = tuple(dims.REQUIRE
     return T.StructType(fields + [T.StructField(b, T.DoubleType()) for b in bands])
 
 
+def _csv_files(reader: DataFrameReader) -> DataFrameReader:
+    return reader.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``file, header``: the first line of every ``.csv`` below a folder."""
+    lines = _csv_files(spark.read).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.withColumn("_at", F.monotonically_increasing_id()).where(F.col("file_block_start") == 0)
+    return first.groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", "_at").alias("header"))
+
+
+def csv_by_header(spark: SparkSession, path: str, headers: DataFrame) -> DataFrame:
+    """Text columns of CSV files that differ in the order or number of their columns.
+
+    Each line is taken apart by the header of its own file; a column that a file lacks is null.  Columns are those of all
+    headers, in the order of their first place.  A quoted field may not hold a line break.
+    """
+    width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
+    fields = ", ".join(f"c{i} string" for i in range(width))
+    cells = lambda c: F.array(*[F.from_csv(c, fields)[f"c{i}"] for i in range(width)])
+    named = headers.withColumn("names", cells(F.col("header")))
+    places = named.select(F.posexplode("names").alias("place", "name")).where("name IS NOT NULL")
+    # one row per column name
+    names = [r["name"] for r in places.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()]
+    lines = _csv_files(spark.read).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    # the header itself has no cells at all, so that no later cast meets its names
+    line = F.when((F.col("value") != F.col("header")) & (F.trim("value") != ""), F.col("value"))
+    rows = lookup_join(lines, named, "file").withColumn("line", line).where("line IS NOT NULL")
+    rows = rows.select("names", cells(F.col("line")).alias("cells"))
+    place = lambda name: F.array_position("names", F.lit(name)).cast("int")
+    return rows.select(*[F.when(place(n) > 0, F.element_at("cells", place(n))).alias(n) for n in names])
+
+
 def hourly_csv(spark: SparkSession, path: str, id_col: str | None = None) -> DataFrame:
     """Every ``.csv`` of a folder as one hourly table with ``gid, date`` and double bands.
 
-    Columns are found by header name; a file whose header differs is reported.
+    Columns are found by the header of each file.  Files with one and the same header go to the CSV reader, which
+    skips columns that are not needed; others are taken apart line by line.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .csv(path)
-    )
+    headers = materialize(csv_headers(spark, path))
+    if headers.select("header").distinct().limit(2).count() < 2:
+        raw = _csv_files(spark.read.option("header", True).option("enforceSchema", False)).csv(path)
+    else:
+        raw = csv_by_header(spark, path, headers)
     table = projection.with_gid(raw, id_col)
     bands = [nan_to_null(F.col(c).cast("double")).alias(c) for c in table.columns if c not in ("gid", "date")]
     return table.select("gid", temporal.naive(F.col("date")).alias("date"), *bands)
@@ -123,7 +159,7 @@ def climate_cells(spark: SparkSession, path: str) -> DataFrame:
 
 
 def model_outputs(spark: SparkSession, path: str, variable: str) -> DataFrame:
-    """Output tables that hold ``variable``, rows tagged with their ``source_file``.
+    """Output tables that hold ``variable``, rows tagged with their ``source_file`` and ``source_path``.
 
     Files may differ in columns.  Files without the variable are left out, by their schema; of the others all rows stay,
     also those without a value.
@@ -133,10 +169,17 @@ def model_outputs(spark: SparkSession, path: str, variable: str) -> DataFrame:
     if not held:
         raise ValueError(f"no file below {path} holds {variable}")
     merged = spark.read.option("mergeSchema", True).parquet(*held)
-    return merged.withColumn("source_file", F.col("_metadata.file_name"))
+    return merged.withColumns({"source_file": F.col("_metadata.file_name"), "source_path": F.col("_metadata.file_path")})
 
 
 def site_store(spark: SparkSession, path: str, gids: Sequence[str] | None = None) -> DataFrame:
-    """Per-site store, pruned to some sites if named."""
-    df = spark.read.parquet(path).withColumn("gid", F.col("gid").cast("string"))
-    return df if gids is None else df.where(F.col("gid").isin(list(gids)))
+    """Site store of :func:`metforge.sources.sinks.site_store`, pruned to some sites if named.
+
+    Sites lie in buckets by their hash, so only the buckets named are listed; inside, rows are sorted by site, and
+    the statistics of row groups skip the others.
+    """
+    df = spark.read.option("basePath", path).parquet(path)
+    if gids is not None:
+        buckets = [site_bucket(F.lit(str(g)), sinks.SITE_BUCKETS) for g in gids]
+        df = df.where(F.col("bucket").isin(*buckets) & F.col("gid").isin([str(g) for g in gids])) if buckets else df.limit(0)
+    return df.select(*[c for c in df.columns if c not in ("bucket", "batch")])

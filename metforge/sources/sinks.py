@@ -6,9 +6,9 @@ partitions and splits large ones, so that one busy site does not become one task
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metforge.functions import geometry as geo
@@ -23,20 +23,35 @@ def zonal_csv(df: DataFrame, path: str) -> None:
     _spread(df, ["batch"]).write.mode("overwrite").partitionBy("batch").option("header", True).csv(path)
 
 
+SITE_BUCKETS = 64  # folders of a site store, whatever the number of sites
+
+
+def site_bucket(gid: Column, buckets: int = SITE_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(gid.cast("string")), F.lit(buckets).cast("bigint")).cast("int")
+
+
+def bucketed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` with its ``bucket``, dealt by it and sorted inside; a bucket that is too large for a task is split."""
+    rows = df.withColumn("gid", F.col("gid").cast("string")).withColumn("bucket", site_bucket(F.col("gid")))
+    return _spread(rows, ["bucket"]).sortWithinPartitions("bucket", *order)
+
+
 def site_store(df: DataFrame, path: str, time: str = "time") -> None:
-    """Parquet with one folder per site, sorted by time."""
-    _spread(df, ["gid"]).sortWithinPartitions("gid", time).write.mode("overwrite").partitionBy("gid").parquet(path)
+    """Parquet in ``SITE_BUCKETS`` folders, sorted by site and time."""
+    bucketed(df, ["gid", time]).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def packed_dataset(values: DataFrame, metadata: DataFrame, path: str, layout: str = "site") -> None:
     """``<path>/values`` and ``<path>/metadata``.
 
-    ``site`` has one folder per site with its variables one after the other, which keeps the
-    number of files at that of the sites; ``grid`` has one per variable and zone.
+    ``site`` has the buckets of a site store, with the variables of a site one after the other; ``grid`` has one
+    folder per variable and zone.
     """
-    columns = ["gid"] if layout == "site" else ["variable", "zone"]
-    order = ["gid", "variable", "time"] if layout == "site" else ["variable", "zone", "time", "gid"]
-    _spread(values, columns).sortWithinPartitions(*order).write.mode("overwrite").partitionBy(*columns).parquet(f"{path}/values")
+    if layout == "site":
+        bucketed(values, ["gid", "variable", "time"]).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/values")
+    else:
+        columns = ["variable", "zone"]
+        _spread(values, columns).sortWithinPartitions(*columns, "time", "gid").write.mode("overwrite").partitionBy(*columns).parquet(f"{path}/values")
     metadata.write.mode("overwrite").parquet(f"{path}/metadata")
 
 
@@ -46,6 +61,13 @@ def zone_mapping(df: DataFrame, path: str, per_site: bool = False) -> None:
     (writer.partitionBy("gid") if per_site else writer).csv(path)
 
 
+def gridded(df: DataFrame, path: str, dimensions: Mapping[str, Sequence[str]]) -> None:
+    """Gridded table whose columns carry the names of their dimensions, kept in the files' schema."""
+    for column, names in dimensions.items():
+        df = df.withMetadata(column, {"dimensions": list(names)})
+    df.write.mode("overwrite").parquet(path)
+
+
 def climate_long(df: DataFrame, path: str) -> bool:
     """CSV of the long table; nothing is written when there are no rows."""
     if df.isEmpty():

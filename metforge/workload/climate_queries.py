@@ -68,14 +68,17 @@ def climate_extract(spark, sf):
     return out.withColumn("value", rounded("value"))
 
 
+MODEL_LONG = ["TBOT", "DTBOT", "PSRF", "PRECTmms", "FSDS", "RH", "WIND"]
+PIVOT = ", ".join(f"max(CASE WHEN variable = '{v}' THEN v END) AS {v}" for v in MODEL_LONG)
+
+
 @query(
-    """SELECT gid, max(CASE WHEN variable = 'TBOT' THEN v END) AS TBOT, max(CASE WHEN variable = 'PSRF' THEN v END) AS PSRF,
- max(CASE WHEN variable = 'RH' THEN v END) AS RH FROM (SELECT gid, variable, round(min(value), 6) AS v FROM model_long GROUP BY 1, 2) GROUP BY gid""",
+    f"SELECT gid, {PIVOT} FROM (SELECT gid, variable, round(min(value), 6) + 0e0 AS v FROM model_long GROUP BY 1, 2) GROUP BY gid",
     ("model_long",),
 )
 def variables_pivot(spark, sf):
-    wide = catalog.merge_variables(views.model_long(spark, sf), ["gid"], ["TBOT", "PSRF", "RH"])
-    return wide.withColumns({c: rounded(c) for c in ("TBOT", "PSRF", "RH")})
+    wide = catalog.merge_variables(views.model_long(spark, sf), ["gid"], MODEL_LONG)
+    return wide.withColumns({c: rounded(c) for c in MODEL_LONG})
 
 
 @query(
@@ -131,12 +134,14 @@ def infer_id(spark, sf):
     return projection.with_gid(renamed).select("gid", rounded("balance").alias("balance"))
 
 
+RENAMED = {name: source for source, name in dims.SHORT_NAMES.items() if name in dims.PROFILES["BYPASS"] and source in dims.REQUIRED_BANDS}
+
+
 @query(
-    """SELECT gid, variable, round(value, 6) + 0e0 AS value FROM (SELECT gid, u.variable, u.value FROM hourly,
- LATERAL (VALUES ('TBOT', temperature_2m), ('PSRF', surface_pressure), ('FLDS', surface_thermal_radiation_downwards_hourly)) AS u(variable, value))""",
+    f"""SELECT gid, variable, round(value, 6) + 0e0 AS value FROM (SELECT gid, u.variable, u.value FROM hourly,
+ LATERAL (VALUES {", ".join(f"('{name}', {source})" for name, source in RENAMED.items())}) AS u(variable, value))""",
     ("hourly",),
 )
 def model_names_melt(spark, sf):
     renamed = projection.to_model_names(views.hourly(spark, sf))
-    kept = [v for v in dims.PROFILES["BYPASS"] if v in ("TBOT", "PSRF", "FLDS")]
-    return projection.melt(renamed, ["gid"], kept).withColumn("value", rounded("value"))
+    return projection.melt(renamed, ["gid"], list(RENAMED)).withColumn("value", rounded("value"))

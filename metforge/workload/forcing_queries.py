@@ -44,11 +44,11 @@ READY_OUT = """SELECT round(TBOT, 6) AS TBOT, round(PRECTmms, 6) + 0e0 AS PRECTm
  strftime(time, '%Y-%m-%d %H:%M:%S') AS time, gid, zone FROM ready"""
 
 
-def presentable(df):
+def presentable(df, *more):
     """Model-ready rows with rounded values and text stamps."""
     digits = {"QBOT": 9}
     values = [rounded(c, digits.get(c, 6)).alias(c) for c in dims.PROFILES["BYPASS"]]
-    return df.select(*values, "LONGXY", "LATIXY", temporal.stamp(F.col("time")).alias("time"), "gid", "zone")
+    return df.select(*values, "LONGXY", "LATIXY", temporal.stamp(F.col("time")).alias("time"), "gid", "zone", *more)
 
 
 @query(READY + READY_OUT, ("hourly", "sites"))
@@ -57,11 +57,30 @@ def forcing_ready(spark, sf):
     return presentable(forcing.forcing_ready(views.hourly(spark, sf), views.sites(spark, sf), options))
 
 
-@query(READY + READY_OUT, ("hourly", "sites"))
+TOWER = READY.replace("QBOT,\n", "QBOT, greatest(e / esat * 100e0, 0e0) AS RH, 10e0 AS ZBOT,\n")
+DATM = [v for v in dims.PROFILES["DATM_MODE"] if v != "ZBOT"]
+
+
+@query(
+    f"""{TOWER} SELECT ZBOT, {", ".join(f"round({v}, 6) + 0e0 AS {v}" for v in DATM)}, LONGXY, LATIXY,
+ strftime(time, '%Y-%m-%d %H:%M:%S') AS time, gid, zone FROM ready""",
+    ("hourly", "sites"),
+)
+def forcing_datm(spark, sf):
+    """The other output profile, with the height of the observations."""
+    options = forcing.ForcingOptions(profile="DATM_MODE", zones=4)
+    ready = forcing.forcing_ready(views.hourly(spark, sf).withColumn("ZBOT", F.lit(10.0)), views.sites(spark, sf), options)
+    return ready.select("ZBOT", *[rounded(v).alias(v) for v in DATM], "LONGXY", "LATIXY", temporal.stamp(F.col("time")).alias("time"), "gid", "zone")
+
+
+@query(
+    READY + READY_OUT.replace(", gid, zone FROM", ", gid, zone, dense_rank() OVER (ORDER BY time, LATIXY, LONGXY) - 1 AS place FROM"), ("hourly", "sites")
+)
 def forcing_sorted(spark, sf):
+    """The place of each row is read off the order in which the sorted rows come."""
     options = forcing.ForcingOptions(zones=4)
     ready = forcing.forcing_ready(views.hourly(spark, sf), views.sites(spark, sf), options)
-    return presentable(sites.sorted_observations(ready))
+    return presentable(views.placed(sites.sorted_observations(ready), ["time", "LATIXY", "LONGXY"]), "place")
 
 
 @query(
@@ -309,14 +328,16 @@ def range_validation(spark, sf):
     return r.withColumns(numbers)
 
 
+SIGNED = [b for b in dims.REQUIRED_BANDS if b in dims.NON_NEGATIVE]
+
+
 @query(
-    """SELECT variable, count(*) FILTER (WHERE value < 0) AS n_negative FROM
- (SELECT u.variable, u.value FROM hourly, LATERAL (VALUES ('total_precipitation_hourly', total_precipitation_hourly),
-   ('surface_pressure', surface_pressure)) AS u(variable, value)) GROUP BY variable""",
+    f"""SELECT variable, count(*) FILTER (WHERE value < 0) AS n_negative FROM
+ (SELECT u.variable, u.value FROM hourly, LATERAL (VALUES {", ".join(f"('{b}', {b})" for b in SIGNED)}) AS u(variable, value)) GROUP BY variable""",
     ("hourly",),
 )
 def negative_check(spark, sf):
-    bands = ["total_precipitation_hourly", "surface_pressure", "u_component_of_wind_10m"]
+    bands = dims.REQUIRED_BANDS
     return quality.negative_report(projection.melt(views.hourly(spark, sf).select(*bands), [], bands))
 
 

@@ -36,6 +36,23 @@ def csv_scan(spark, sf):
     return df.select("gid", temporal.stamp(F.col("date")).alias("date"), *[rounded(b).alias(b) for b in dims.REQUIRED_BANDS])
 
 
+MIXED_BANDS = ", ".join(
+    f"CASE WHEN CAST(gid AS BIGINT) % 3 <> 1 THEN round({b}, 6) + 0e0 END AS {b}" if b == "surface_pressure" else f"round({b}, 6) + 0e0 AS {b}" for b in dims.REQUIRED_BANDS
+)
+
+
+@query(f"SELECT gid, {STAMP.format(c='date')} AS date, {MIXED_BANDS} FROM hourly", ("hourly",))
+def csv_scan_mixed(spark, sf):
+    """Files of three headers: one in the usual order, one without a band, one in reverse order."""
+    path = scratch_path(spark, "mixed")
+    rows = views.hourly(spark, sf).select("gid", temporal.stamp(F.col("date"), "minute").alias("date"), *dims.REQUIRED_BANDS)
+    orders = [rows.columns, [c for c in rows.columns if c != "surface_pressure"], rows.columns[::-1]]
+    for i, columns in enumerate(orders):
+        rows.where(F.col("gid").cast("bigint") % 3 == i).select(*columns).write.option("header", True).csv(f"{path}/{i}")
+    df = readers.hourly_csv(spark, path)
+    return df.select("gid", temporal.stamp(F.col("date")).alias("date"), *[rounded(b).alias(b) for b in dims.REQUIRED_BANDS])
+
+
 @query(
     """WITH y AS (SELECT year(date) AS y, bool_or(month(date) * 100 + day(date) = 101) AND bool_or(month(date) * 100 + day(date) = 1231) AS ok
  FROM hourly GROUP BY 1) SELECT CAST(coalesce(min(CASE WHEN ok THEN y END), min(y)) AS INTEGER) AS start_year,
@@ -249,25 +266,45 @@ def climate_long_file(spark, sf):
     ).csv(path)
 
 
+@query(
+    """SELECT printf('%04d-%02d-%02d %02d:%02d:%02d', year, month, day, second // 3600, (second % 3600) // 60, second % 60) AS date,
+ lon, lat, round(u.value, 6) AS value, u.var, split_part(split_part(path, '/', -1), '_', 2) AS model, split_part(split_part(path, '/', -1), '_', 3) AS ssp
+ FROM climate, LATERAL (VALUES ('pr', pr), ('tas', tas)) AS u(var, value)""",
+    ("climate",),
+)
+def long_discovered(spark, sf):
+    """The variables are found by the dimensions that the files keep; the order key has none of time, lat or lon."""
+    from metforge.operators.catalog import long_table
+
+    path = scratch_path(spark, "gridded")
+    grid = ["time", "lat", "lon"]
+    sinks.gridded(views.climate(spark, sf), path, {"pr": grid, "tas": grid, "o_orderkey": ["order"], "lat": ["lat"], "lon": ["lon"]})
+    return long_table(spark.read.parquet(path)).withColumn("value", rounded("value"))
+
+
 @query("SELECT source_id, variable_id, experiment_id, member_id, zstore FROM catalogue", ("catalogue",))
 def catalogue_outputs(spark, sf):
     path = scratch_path(spark, "outputs")
-    sinks.catalogue_outputs(views.catalogue(spark, sf), path, ["variable_id", "experiment_id"])
+    # the sources would make a folder for nearly every row of these tables; tests/test_flows.py writes all four keys
+    sinks.catalogue_outputs(views.catalogue(spark, sf), path, ["variable_id", "experiment_id", "member_id"])
     back = spark.read.parquet(path)
     return back.select(F.col("source_id").cast("string").alias("source_id"), "variable_id", "experiment_id", "member_id", "zstore")
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN round(value, 6) END AS value FROM events"""
+    """SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN round(value, 6) END AS value,
+ CASE WHEN event_id % 3 = 0 THEN 'first' ELSE 'second' END AS run FROM events"""
 )
 def tagged_outputs(spark, sf):
+    """Two runs that hold the variable, one of them with a further column, and one that does not."""
     root = scratch_path(spark, "runs")
     events = views.table(spark, sf, "events")
     kept = F.when(F.col("event_id") % 10 != 0, F.col("value")).alias("value")  # rows without a value stay
-    events.select("event_id", kept).write.parquet(f"{root}/events")
+    events.where("event_id % 3 = 0").select("event_id", kept).write.parquet(f"{root}/first")
+    events.where("event_id % 3 <> 0").select("event_id", kept, "user_id").write.parquet(f"{root}/second")
     events.select("event_id", "user_id").write.parquet(f"{root}/users")
     tagged = readers.model_outputs(spark, root, "value")
-    return tagged.select("event_id", rounded("value").alias("value"))
+    return tagged.select("event_id", rounded("value").alias("value"), F.element_at(F.split("source_path", "/"), -2).alias("run"))
 
 
 @query(

@@ -92,9 +92,12 @@ def latest_time(spark, sf):
     return stamped(timeaxis.latest_time(views.table(spark, sf, "events"), "ts"), "latest")
 
 
-@query(f"SELECT DISTINCT gid, {STAMP.format(c='time')} AS time FROM station", ("station",))
+@query(
+    f"SELECT gid, {STAMP.format(c='time')} AS time, row_number() OVER (ORDER BY gid, time) - 1 AS place FROM (SELECT DISTINCT gid, time FROM station)", ("station",)
+)
 def distinct_times(spark, sf):
-    return stamped(timeaxis.distinct_times(views.station(spark, sf), "time", ["gid"]), "time")
+    """The place of each stamp is read off the order in which the rows come."""
+    return stamped(views.placed(timeaxis.distinct_times(views.station(spark, sf), "time", ["gid"]), ["gid", "time"]).select("gid", "time", "place"), "time")
 
 
 @query(

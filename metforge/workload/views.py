@@ -7,9 +7,11 @@ arithmetic that is the same in both engines.  ``SQL`` holds the matching sub-que
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from metforge.functions import geometry as geo
+from metforge.session import stored
 
 SQL: dict[str, str] = {}
 
@@ -25,6 +27,23 @@ def rounded(c: Column | str, digits: int = 6) -> Column:
     return F.signum(c) * F.floor(F.abs(c) * scale + 0.5) / scale + F.lit(0.0)
 
 
+def placed(ordered: DataFrame, by: list[str]) -> DataFrame:
+    """``place``: number of changes of ``by`` before each row, in the order in which the rows come.
+
+    Partitions of a sorted table follow one another; only their first and last rows are put together.
+    """
+    rows = stored(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part, key = F.shiftright("_at", 33), F.struct(*by)
+    inside = W.partitionBy("_part").orderBy("_at")
+    rows = rows.withColumn("_part", part).withColumn("_new", F.coalesce((F.lag(key).over(inside) != key).cast("bigint"), F.lit(0).cast("bigint")))
+    rows = rows.withColumn("_own", F.sum("_new").over(inside.rowsBetween(W.unboundedPreceding, 0)))
+    ends = rows.groupBy("_part").agg(F.min_by(key, "_at").alias("first"), F.max_by(key, "_at").alias("last"), F.sum("_new").alias("n"))
+    across = W.orderBy("_part")  # one row per partition
+    step = F.coalesce((F.lag("last").over(across) != F.col("first")).cast("bigint"), F.lit(0).cast("bigint"))
+    ends = ends.withColumn("_step", step).withColumn("_before", F.sum(F.col("_step") + F.coalesce(F.lag("n").over(across), F.lit(0))).over(across.rowsBetween(W.unboundedPreceding, 0)))
+    return rows.join(F.broadcast(ends.select("_part", "_before")), "_part").withColumn("place", F.col("_own") + F.col("_before"))
+
+
 def day_hours(hours: Column) -> Column:
     return F.expr("INTERVAL '0 01:00:00' DAY TO SECOND") * hours
 

@@ -44,10 +44,14 @@ def test_csv_folder_is_one_table(spark, folder):
     assert "temperature_2m" not in plan.split("ReadSchema")[1]
 
 
-def test_csv_with_another_header_is_reported(spark, folder):
-    (folder / "c.csv").write_text("gid,date,other\n1,2000-01-01 00:00,5\n")
-    with pytest.raises(Exception, match="c.csv"):
-        readers.hourly_csv(spark, str(folder)).collect()
+def test_csv_files_by_their_own_headers(spark, folder):
+    (folder / "c.csv").write_text('date,gid,other\n2000-01-01 00:00,7,5\n\n2000-01-01 01:00,"8",\n')
+    (folder / "empty.csv").write_text("")
+    df = readers.hourly_csv(spark, str(folder))
+    assert df.count() == 13 and df.columns[0] == "gid"
+    got = {r["gid"]: (r["other"], r["temperature_2m"]) for r in df.where("gid IN ('7', '8')").collect()}
+    assert got == {"7": (5.0, None), "8": (None, None)}
+    assert df.where("gid NOT IN ('7', '8')").where("temperature_2m IS NULL OR other IS NOT NULL").count() == 0
 
 
 def test_forcing_end_to_end(spark, folder, places):
@@ -121,6 +125,69 @@ def test_site_store_and_mapping(spark, folder, places, tmp_path):
     assert text == "210.4\t68.6\t01\t1"
 
 
+def test_site_store_reads_few_row_groups(spark, tmp_path):
+    rows = spark.range(200_000).select((F.col("id") % 500).cast("string").alias("gid"), F.timestamp_micros(F.col("id") * 3_600_000_000).alias("time"), F.rand(1).alias("TBOT"))
+    path = str(tmp_path / "store")
+    spark.conf.set("parquet.block.size", 16 * 1024)
+    try:
+        sinks.site_store(rows, path)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    folders = [p.name for p in (tmp_path / "store").iterdir() if p.is_dir()]
+    assert len(folders) == sinks.SITE_BUCKETS  # not one for each of 500 sites
+    kept = readers.site_store(spark, path, ["77"])
+    assert kept.count() == 400 and "bucket" not in kept.columns
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "bucket#" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "PushedFilters" in plan and "77" in plan.split("PushedFilters")[1]
+    assert readers.site_store(spark, path, []).count() == 0
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, folder, places, tmp_path):
+    located, store = sites.with_zones(places, 1), str(tmp_path / "store")
+    hourly = readers.hourly_csv(spark, str(folder))
+    for number in (0, 0, 1, 0):
+        ingest.write_batch(hourly, number, located, store, 2000, 2001)
+    assert readers.site_store(spark, store).count() == 16
+
+
+def test_a_batch_with_most_rows_at_one_site(spark, folder, places, tmp_path, monkeypatch):
+    from metforge.operators import skew
+
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df, limit=0: False)
+    monkeypatch.setattr(skew.salted_join, "__defaults__", ("inner", 20))
+    one = readers.hourly_csv(spark, str(folder)).where("gid = '1'").limit(1).drop("gid", "date")
+    start = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
+    rows = spark.range(5000).select(F.when(F.col("id") % 10 < 9, "1").otherwise("2").alias("gid"), (start + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("date"))
+    batch = rows.crossJoin(one)
+    store = str(tmp_path / "store")
+    ingest.write_batch(batch, 0, sites.with_zones(places, 1), store, 2000, 2000)
+    counts = {r["gid"]: r["count"] for r in readers.site_store(spark, store).groupBy("gid").count().collect()}
+    leap = sum(1 for i in range(5000) if 59 * 24 <= i < 60 * 24 and i % 10 < 9), sum(1 for i in range(5000) if 59 * 24 <= i < 60 * 24 and i % 10 == 9)
+    assert counts == {"1": 4500 - leap[0], "2": 500 - leap[1]}
+
+
+def test_catalogue_outputs_by_all_keys(spark, tmp_path):
+    rows = [("pr", "M1", "ssp1", "r1", "x"), ("tas", "M1", "ssp1", "r1", "y"), ("pr", "M2", "ssp1", "r2", "z")]
+    table = spark.createDataFrame(rows, "variable_id string, source_id string, experiment_id string, member_id string, zstore string")
+    sinks.catalogue_outputs(table, str(tmp_path / "out"))
+    assert (tmp_path / "out/variable_id=pr/source_id=M2/experiment_id=ssp1/member_id=r2").is_dir()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_variables_are_discovered_by_their_dimensions(spark, tmp_path):
+    from metforge.operators import catalog
+
+    rows = [(2000, 1, 1, 0, 1.0, 2.0, "pr_M_ssp1_r1.nc", 0.5, 0.7, 9.0)]
+    table = spark.createDataFrame(rows, "year int, month int, day int, second int, lon double, lat double, path string, pr double, tas double, height double")
+    sinks.gridded(table, str(tmp_path / "g"), {"pr": ["time", "lat", "lon"], "tas": ["lat"], "height": ["level"], "lat": ["lat"]})
+    back = spark.read.parquet(str(tmp_path / "g"))
+    assert sorted(catalog.gridded_variables(back)) == ["pr", "tas"]
+    assert {r["var"] for r in catalog.long_table(back).collect()} == {"pr", "tas"}
+    with pytest.raises(ValueError, match="gridded"):
+        catalog.long_table(table)
+
+
 def test_sinks_overwrite(spark, tmp_path):
     d = spark.createDataFrame([("a", 1.0, "x")], "gid string, v double, batch string")
     for _ in range(2):
