@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from metforge import dims
@@ -41,13 +42,14 @@ def downsample(dem: DataFrame, scale_m: float, native_m: float = float(dims.DEM_
     return dem.where((F.col("row") % k == 0) & (F.col("col") % k == 0))
 
 
-def with_aspect(dem: DataFrame, tile: int = 256) -> DataFrame:
-    """Add ``aspect``: downslope direction, degrees clockwise from north.
+def _lines() -> tuple[WindowSpec, WindowSpec]:
+    """Windows along the rows and along the columns of a tile."""
+    tile = ("feature_id", "tr", "tc")
+    return W.partitionBy(*tile, "row").orderBy("col"), W.partitionBy(*tile, "col").orderBy("row")
 
-    Cells without all four neighbours, and flat cells, have null.  The raster is cut
-    into tiles that carry a one-cell rim of their neighbours, so one shuffle by tile
-    serves both gradients and no task holds more than a tile of a feature.
-    """
+
+def _tiled(cells: DataFrame, tile: int) -> DataFrame:
+    """Cells by tile (``tr, tc``), each tile with a rim of one cell of its neighbours (``own`` is false)."""
     row, col, size = F.col("row"), F.col("col"), F.lit(tile)
     tr, tc = F.floor(row / size).cast("int"), F.floor(col / size).cast("int")
     at = lambda r, c, own: F.struct(r.alias("tr"), c.alias("tc"), F.lit(own).alias("own"))
@@ -60,10 +62,20 @@ def with_aspect(dem: DataFrame, tile: int = 256) -> DataFrame:
             F.when(F.pmod(col, size) == tile - 1, at(tr, tc + 1, False)),
         )
     )
-    tiled = dem.withColumn("_tile", F.explode(copies)).select(*dem.columns, "_tile.*")
-    tiled = tiled.repartition("feature_id", "tr", "tc")
-    along_row = W.partitionBy("feature_id", "tr", "tc", "row").orderBy("col")
-    along_col = W.partitionBy("feature_id", "tr", "tc", "col").orderBy("row")
+    tiled = cells.withColumn("_tile", F.explode(copies)).select(*cells.columns, "_tile.*")
+    return tiled.repartition("feature_id", "tr", "tc")
+
+
+def with_aspect(dem: DataFrame, tile: int = 256) -> DataFrame:
+    """Add ``aspect``: downslope direction, degrees clockwise from north.
+
+    Cells without all four neighbours, and flat cells, have null.  The raster is cut
+    into tiles that carry a one-cell rim of their neighbours, so one shuffle by tile
+    serves both gradients and no task holds more than a tile of a feature.
+    """
+    row, col = F.col("row"), F.col("col")
+    tiled = _tiled(dem, tile)
+    along_row, along_col = _lines()
     e = F.col("elevation")
 
     def neighbour(shift: int, window, index: Column) -> Column:
@@ -187,15 +199,31 @@ def dissolve(units: DataFrame, metadata: DataFrame, cell_area: float = 1.0) -> D
     )
 
 
-def outline_edges(units: DataFrame) -> DataFrame:
-    """Boundary segments of each unit on the cell lattice: the cell sides that occur once."""
+def outline_segments(units: DataFrame, tile: int = 256) -> DataFrame:
+    """Boundary of each unit on the cell lattice, as straight segments that cannot be made longer.
+
+    One shuffle by tile finds the sides whose neighbour is another unit or none; only these go on, and
+    sides that follow one another on a line are one segment, from ``(row0, col0)`` to ``(row1, col1)``.
+    """
     r, c = F.col("row"), F.col("col")
-    side = lambda r0, c0, r1, c1: F.struct(r0.alias("row0"), c0.alias("col0"), r1.alias("row1"), c1.alias("col1"))
-    sides = F.array(side(r, c, r, c + 1), side(r + 1, c, r + 1, c + 1), side(r, c, r + 1, c), side(r, c + 1, r + 1, c + 1))
-    return (
-        units.select("feature_id", "topounit_id", F.explode(sides).alias("_s"))
-        .groupBy("feature_id", "topounit_id", "_s.row0", "_s.col0", "_s.row1", "_s.col1")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") == 1)
-        .drop("_n")
+    tiled = _tiled(units.select("feature_id", "topounit_id", "row", "col"), tile)
+
+    along_row, along_col = _lines()
+
+    def same(shift: int, window: WindowSpec, index: Column) -> Column:
+        near = (F.lag(index, -shift).over(window) == index + shift) & (F.lag("topounit_id", -shift).over(window) == F.col("topounit_id"))
+        return F.coalesce(near, F.lit(False))
+
+    found = tiled.withColumns(
+        {"_w": same(-1, along_row, c), "_e": same(1, along_row, c), "_n": same(-1, along_col, r), "_s": same(1, along_col, r)}
+    ).where(F.col("own"))
+    side = lambda held, level, line, place: F.when(~F.col(held), F.struct(F.lit(level).alias("level"), line.alias("line"), place.alias("place")))
+    sides = F.array_compact(F.array(side("_n", True, r, c), side("_s", True, r + 1, c), side("_w", False, c, r), side("_e", False, c + 1, r)))
+    keys = ["feature_id", "topounit_id", "level", "line"]
+    rows = found.select("feature_id", "topounit_id", F.inline(sides))
+    run = F.col("place") - F.row_number().over(W.partitionBy(*keys).orderBy("place"))  # a line of one unit: as long as a raster is wide
+    ends = rows.withColumn("_run", run).groupBy(*keys, "_run").agg(F.min("place").alias("a"), (F.max("place") + 1).alias("b"))
+    pick = lambda x, y: F.when(F.col("level"), F.col(x)).otherwise(F.col(y))
+    return ends.select(
+        "feature_id", "topounit_id", pick("line", "a").alias("row0"), pick("a", "line").alias("col0"), pick("line", "b").alias("row1"), pick("b", "line").alias("col1")
     )

@@ -406,8 +406,13 @@ def dem_downsample(spark, sf):
     f"""{_units_sql('lattice_dem')}, m AS (SELECT d.feature_id, CAST(u AS INTEGER) AS topounit_id, d.row, d.col FROM lattice_dem d
  JOIN bands b ON d.feature_id = b.feature_id AND d.elevation >= lo AND d.elevation < hi),
 s AS (SELECT feature_id, topounit_id, e.* FROM m, LATERAL (VALUES (row, col, row, col + 1), (row + 1, col, row + 1, col + 1),
- (row, col, row + 1, col), (row, col + 1, row + 1, col + 1)) AS e(row0, col0, row1, col1))
-SELECT feature_id, topounit_id, row0, col0, row1, col1 FROM s GROUP BY ALL HAVING count(*) = 1""",
+ (row, col, row + 1, col), (row, col + 1, row + 1, col + 1)) AS e(row0, col0, row1, col1)),
+k AS (SELECT feature_id, topounit_id, row0 = row1 AS level, CASE WHEN row0 = row1 THEN row0 ELSE col0 END AS line,
+ CASE WHEN row0 = row1 THEN col0 ELSE row0 END AS place FROM s GROUP BY feature_id, topounit_id, row0, col0, row1, col1 HAVING count(*) = 1),
+i AS (SELECT *, place - row_number() OVER (PARTITION BY feature_id, topounit_id, level, line ORDER BY place) AS run FROM k),
+e AS (SELECT feature_id, topounit_id, level, line, min(place) AS a, max(place) + 1 AS b FROM i GROUP BY feature_id, topounit_id, level, line, run)
+SELECT feature_id, topounit_id, CASE WHEN level THEN line ELSE a END AS row0, CASE WHEN level THEN a ELSE line END AS col0,
+ CASE WHEN level THEN line ELSE b END AS row1, CASE WHEN level THEN b ELSE line END AS col1 FROM e""",
     ("lattice_dem",),
 )
 def topounit_outline(spark, sf):
@@ -415,4 +420,4 @@ def topounit_outline(spark, sf):
 
     dem = views.lattice_dem(spark, sf)
     thresholds = materialize(terrain.elevation_thresholds(dem, 4))
-    return terrain.outline_edges(terrain.assign_units(dem, thresholds))
+    return terrain.outline_segments(terrain.assign_units(dem, thresholds), tile=16)

@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from metforge.operators import terrain
 from metforge.plans import topographic
@@ -84,11 +85,28 @@ def test_empty_units_stay(spark):
 
 
 def test_outline_of_two_cells(spark):
-    dem = column(spark, [1, 1])
-    from pyspark.sql import functions as F
+    dem = spark.createDataFrame([("f", 0, 0), ("f", 0, 1)], "feature_id string, row int, col int")
+    got = {tuple(r)[2:] for r in terrain.outline_segments(dem.withColumn("topounit_id", F.lit(1))).collect()}
+    assert got == {(0, 0, 0, 2), (1, 0, 1, 2), (0, 0, 1, 0), (0, 2, 1, 2)}
+
+
+@pytest.mark.parametrize("tile", [3, 256])
+def test_outline_against_single_sides(spark, tile):
+    rnd = random.Random(6)
+    unit = {(r, c): rnd.randrange(3) for r in range(12) for c in range(14) if rnd.random() < 0.9}
+    rows = [("f", r, c, u) for (r, c), u in unit.items()]
+    got = terrain.outline_segments(spark.createDataFrame(rows, "feature_id string, row int, col int, topounit_id int"), tile).collect()
+    want = set()
+    for (r, c), u in unit.items():
+        near = {(r, c, r, c + 1): (r - 1, c), (r + 1, c, r + 1, c + 1): (r + 1, c), (r, c, r + 1, c): (r, c - 1), (r, c + 1, r + 1, c + 1): (r, c + 1)}
+        want |= {(u, *side) for side, other in near.items() if unit.get(other) != u}
+    parts = []
+    for _, u, r0, c0, r1, c1 in map(tuple, got):
+        parts += [(u, r0, c, r1, c + 1) for c in range(c0, c1)] if r0 == r1 else [(u, r, c0, r + 1, c1) for r in range(r0, r1)]
+    assert len(parts) == len(set(parts)) and set(parts) == want
+    ends = {(r.topounit_id, r.row1, r.col1, r.row0 == r.row1) for r in got}
+    assert not any((r.topounit_id, r.row0, r.col0, r.row0 == r.row1) in ends for r in got)  # none can be made longer
 
-    edges = terrain.outline_edges(dem.withColumn("topounit_id", F.lit(1)))
-    assert edges.count() == 6  # a 2 x 1 block
 
 
 def test_scales():
