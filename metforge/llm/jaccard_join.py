@@ -14,7 +14,7 @@ A document's distinct shingles are hashed into groups.  Two things come of the g
 
 Pairs that survive are joined to candidate components, inside which all shingles are compared
 exactly.  Equal sets are one class with one representative throughout.  Keys or components with many documents are
-cut into tiles of two blocks each, so no task holds more than a bounded number of documents.
+cut into tiles of two blocks each, bounded by documents and, where full sets are compared, by shingles.
 """
 
 from __future__ import annotations
@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metforge.llm.common import LOWER, add_columns, fresh, hashed, lists, mixed, table, windows
+from metforge.llm.common import LOWER, add_columns, fresh, hashed, lists, mixed, small_batches, table, windows
 from metforge.llm.components import components
-from metforge.operators.skew import HEAVY_SHARE, fits_broadcast, lookup_join
-from metforge.session import stored
+from metforge.operators.skew import HEAVY_SHARE, lookup_join
+from metforge.session import materialize, stored
 
 SHINGLE = 5
 COARSE = 16  # coordinates of the smallest points
@@ -37,6 +37,8 @@ FULL = 255  # a count of this or more
 PERCENT = 75  # similarity that links; the arguments about keys below hold for 75 or more
 LEAF = 32  # points in a leaf of the tree, children of a node
 BLOCK = 4096  # documents of a key, or of a component, in one block
+BLOCK_SHINGLES = 1_000_000  # of the documents of a component in one block
+SKETCH_KEYS = 8  # keys that the sketch of heavy keys tracks, for each that may be heavy
 
 
 # --- sets and keys ---------------------------------------------------------------------------
@@ -258,63 +260,89 @@ def _exact(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 # --- Spark -----------------------------------------------------------------------------------
 
 
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of sorted batches as tables of whole groups; one group, or those that end in a batch, in memory at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        marks = np.stack([batch.column(k).to_numpy() for k in keys])
+        change = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1
+        if held and list(marks[:, 0]) != [held[-1].column(k)[-1].as_py() for k in keys]:
+            yield pa.Table.from_batches(held)
+            held = []
+        if len(change):
+            yield pa.Table.from_batches([*held, batch.slice(0, int(change[-1]))])
+            held = [batch.slice(int(change[-1]))]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _starts(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """Bounds of the groups in sorted rows."""
+    marks = np.stack([rows[k].to_numpy() for k in keys])
+    first = np.flatnonzero(np.concatenate([[True], (marks[:, 1:] != marks[:, :-1]).any(0)]))
+    return np.append(first, rows.num_rows)
+
+
 def _grouped(df: DataFrame, keys: list[str], read: Callable, links: Callable) -> DataFrame:
-    """``a, b``: ``links`` of the rows of each group, ids in the column ``doc_id``; one group in memory at a time."""
-    names = df.columns
-
-    def flush(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(parts)
-        ids = rows["doc_id"].to_numpy()
-        marks = np.stack([rows[k].to_numpy() for k in keys])
-        starts = np.flatnonzero(np.concatenate([[True], (marks[:, 1:] != marks[:, :-1]).any(0)]))
-        found = [(ids[i], ids[j]) for i, j in links(read(rows), np.append(starts, len(ids)))]
-        if found:
-            a, b = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    """``a, b``: ``links`` of the rows of each group, ids in the column ``doc_id``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            marks = np.stack([batch.column(names.index(k)).to_numpy() for k in keys])
-            change = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1
-            if held:
-                last = [held[-1].column(names.index(k))[-1].as_py() for k in keys]
-                if list(marks[:, 0]) != last:
-                    yield from flush(held)
-                    held = []
-            if len(change):  # all groups that end in this batch
-                yield from flush([*held, batch.slice(0, int(change[-1]))])
-                held = [batch.slice(int(change[-1]))]
-            else:
-                held.append(batch)
-        if held:
-            yield from flush(held)
+        for rows in _runs(batches, keys):
+            ids = rows["doc_id"].to_numpy()
+            found = [(ids[i], ids[j]) for i, j in links(read(rows), _starts(rows, keys))]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
 
     return df.repartition(*keys).sortWithinPartitions(*keys, "doc_id").mapInArrow(run, "a bigint, b bigint")
 
 
-def _buckets(keyed: DataFrame) -> DataFrame:
-    """``bucket, count, doc_id`` of the keys that several rows ``doc_id, key`` have; keys with the same documents are one bucket."""
+def _heavy(keyed: DataFrame, share: int) -> DataFrame:
+    """Keys with more than ``1 / share`` of the rows, and perhaps some with less; fewer than ``2 * share``.
+
+    They come from a mergeable sketch of all rows, whose counts are never too low, and only decide which way rows take.
+    """
+    top = keyed.agg(F.expr(f"approx_top_k(key, {2 * share}, {SKETCH_KEYS * share})").alias("top"), F.count(F.lit(1)).alias("total"))
+    found = top.select(F.explode("top").alias("t"), "total").where((F.col("t.count") * share > F.col("total")) & (F.col("t.count") > share))
+    return materialize(found.select(F.col("t.item").alias("key")))
+
+
+def _buckets(keyed: DataFrame, share: int = HEAVY_SHARE) -> DataFrame:
+    """``bucket, count, doc_id`` of the keys that several rows ``doc_id, key`` have; keys with the same documents are one bucket.
+
+    Rows are shuffled by their key once, at any size.  Those of the few heavy keys stay where they are: their counts
+    are combined before the shuffle, and of those with the same documents one key is kept.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["key"]):
+            starts = _starts(rows, ["key"])
+            ids, count = rows["doc_id"].to_numpy(), np.diff(starts)
+            prints = mixed(np.add.reduceat(mixed(ids.view(np.uint64)), starts[:-1]) + count.astype(np.uint64))  # of the documents in any order
+            several = np.flatnonzero(count > 1)
+            own = several[np.unique(prints[several], return_index=True)[1]]
+            at = np.repeat(starts[own] - (np.cumsum(count[own]) - count[own]), count[own]) + np.arange(count[own].sum())
+            columns = np.repeat(prints[own], count[own]).view(np.int64), np.repeat(count[own], count[own]), ids[at]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["bucket", "count", "doc_id"])
+
+    small_batches(keyed.sparkSession)
+    heavy = F.broadcast(_heavy(keyed, share))  # fewer than 2 * share rows
+    dealt = keyed.join(heavy, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+    out = dealt.select("key", "doc_id").mapInArrow(run, "bucket bigint, count bigint, doc_id bigint")
     h = F.xxhash64("doc_id")
     # halves, as the sum of whole hashes leaves BIGINT; a sum also tells repeated ids, which cancel each other in bit_xor
     low, high = F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(h, 32))
-    sums = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("count"), low.alias("low"), high.alias("high")).where("count > 1")
-    met = stored(sums.select("key", "count", F.xxhash64("low", "high").alias("bucket")), "shingle-keys")
-    if fits_broadcast(met):
-        found = keyed.join(F.broadcast(met), "key")
-    else:  # the counts are known: rows of the few heavy keys stay where they are, the others are shuffled
-        total = met.agg(F.sum("count")).first()[0]
-        heavy = F.col("count") * HEAVY_SHARE > F.lit(total)
-        wide = F.broadcast(met.where(heavy))
-        found = keyed.join(wide, "key").unionByName(keyed.join(wide, "key", "left_anti").join(met.where(~heavy), "key"))
-    return found.select("bucket", "count", "doc_id").distinct()
-
-
-def _tiles(df: DataFrame, count: Column) -> DataFrame:
-    """Rows of a group of ``count`` documents dealt to tiles of two blocks; one tile for a group of one block."""
-    blocks = F.ceil(count / BLOCK).cast("int")
+    sums = keyed.join(heavy, "key").groupBy("key").agg(F.count(F.lit(1)).alias("count"), low.alias("low"), high.alias("high")).where("count > 1")
+    wide = materialize(sums.groupBy("count", F.xxhash64("low", "high").alias("bucket")).agg(F.min("key").alias("key")))
+    return out.unionByName(keyed.join(F.broadcast(wide), "key").select("bucket", "count", "doc_id")).distinct()
+
+
+def _tiles(df: DataFrame, blocks: Column) -> DataFrame:
+    """Rows of a group of so many ``blocks`` dealt to tiles of two blocks; one tile for a group of one block."""
+    blocks = blocks.cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks.cast("bigint")).cast("int")
     other = F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), blocks - 1))
     rows = df.withColumn("_own", own).withColumn("_blocks", blocks).withColumn("_other", F.explode(other))
@@ -369,16 +397,19 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     reps = lookup_join(known, stored(copies, "shingle-copies"), ["doc_id", "h1", "h2"], "left_anti")
 
     # keys that several representatives have
+    reps = stored(reps.select("doc_id", "keys"), "shingle-representatives")
     met = stored(_buckets(reps.select("doc_id", F.explode("keys").alias("key"))), "shingle-buckets")
     placed = lookup_join(met, sig.select("doc_id", "n", "vec").where("n > 0").dropDuplicates(["doc_id", "vec"]), "doc_id")
-    maybe = _grouped(_tiles(placed, F.col("count")), ["bucket", "count", "tile"], _points, _maybe)
+    maybe = _grouped(_tiles(placed, F.ceil(F.col("count") / BLOCK)), ["bucket", "count", "tile"], _points, _maybe)
     near = stored(components(maybe), "shingle-candidates")
 
     # inside a candidate component everything is compared
-    sized = near.groupBy("component").agg(F.count(F.lit(1)).alias("count"))
-    near = stored(lookup_join(near, sized, "component").select(F.col("node").alias("doc_id"), "component", "count"), "shingle-members")
+    near = near.select(F.col("node").alias("doc_id"), "component")
+    near = stored(lookup_join(near, sig.where("n > 0").groupBy("doc_id").agg(F.sum("n").alias("n")), "doc_id", unique=True), "shingle-near")
+    whole = near.groupBy("component").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    near = stored(lookup_join(near, whole, "component").drop("n"), "shingle-members")
     members = lookup_join(rows.where("doc_id IS NOT NULL AND text IS NOT NULL"), near, "doc_id").distinct()
-    sure = _grouped(_tiles(members, F.col("count")), ["component", "tile"], _sets, _sure)
+    sure = _grouped(_tiles(members, F.col("blocks")).drop("blocks"), ["component", "tile"], _sets, _sure)
     linked = stored(components(sure), "shingle-components")
 
     # classes that have copies or links, then every document by its class

@@ -283,13 +283,14 @@ def test_similar_sets_share_a_key():
                     break
 
 
-@pytest.mark.parametrize("fits", [True, False])
-def test_buckets_of_a_key_with_many_documents(spark, fits, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "fits_broadcast", lambda df: fits)
+@pytest.mark.parametrize("share", [1000, 1])  # keys of many documents apart, or with all others
+def test_buckets_of_a_key_with_many_documents(spark, share):
     n = 300000
     wide = spark.range(10_000_000, 10_000_000 + n).withColumn("key", F.explode(F.array(F.lit(1), F.lit(2))))
     few = spark.createDataFrame([(1, 5), (2, 5), (1, 6), (2, 6), (3, 7), (8, 9), (8, 9), (9, 10), (9, 10)], "id bigint, key int")
-    found = jaccard_join._buckets(wide.unionByName(few).withColumnRenamed("id", "doc_id"))
+    keyed = wide.unionByName(few).withColumnRenamed("id", "doc_id")
+    assert {r.key for r in jaccard_join._heavy(keyed, share).collect()} == ({1, 2} if share > 1 else set())
+    found = jaccard_join._buckets(keyed, share)
     got = {(r["count"], r.ids, r.least) for r in found.groupBy("bucket", "count").agg(F.count("doc_id").alias("ids"), F.min("doc_id").alias("least")).collect()}
     # keys 1 and 2 are one bucket, so are 5 and 6; 7 is alone; an id that repeats is no reason to meet others
     assert got == {(n, n, 10_000_000), (2, 2, 1), (2, 1, 8), (2, 1, 9)}
