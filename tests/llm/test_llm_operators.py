@@ -6,6 +6,7 @@ import os
 import random
 import re
 import sys
+import zlib
 
 import numpy as np
 import pytest
@@ -150,11 +151,54 @@ def test_cosine_blocks_are_exact(docs, spark):
     texts = [r.text.encode() for r in docs.where("text IS NOT NULL").limit(20).collect()]
     x = model.project([quality_model.terms(t) for t in texts]).astype(float)
     for t, v, got in zip(texts, x, model.score(texts), strict=True):
-        cosines = sorted(zip(model.vectors.astype(float) @ v, model.labels, strict=True), reverse=True)[: quality_model.NEIGHBOURS]
+        cosines = sorted(zip(model.vectors.astype(float) @ v / quality_model.STEPS**2, model.labels, strict=True), reverse=True)[: quality_model.NEIGHBOURS]
         weights = [max(c, 1e-6) ** quality_model.SHARPNESS for c, _ in cosines]
         assert got == pytest.approx(sum(w * q for w, (_, q) in zip(weights, cosines, strict=True)) / sum(weights), abs=0.08)
 
 
+def test_votes_beside_a_plain_model(docs, rows, spark):
+    """Fit by a full decomposition in doubles, cosines as plain products, neighbours by a sort with places as ties."""
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(30)], "doc_id bigint, quality int")
+    model = quality_model.fit(docs, labels)
+    used = sorted({(i, t) for i, t, *_ in rows if i < 30 and zlib.crc32(str(i).encode()) % 5})
+    assert model.labels.tolist() == [float(i % 3 > 0) for i, _ in used]
+    wide = lambda texts: np.array([[d.get(c, 0.0) for c in range(4096)] for d in (quality_model.terms(t.encode()) for t in texts)])
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    x = wide([t for _, t in used])
+    rarity = np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1
+    x = unit(x * rarity)
+    space = np.linalg.svd(x, full_matrices=False)[2].T
+    texts = [t for i, t, *_ in rows if t and 30 <= i < 80]
+    latent, known = unit((wide(texts) * rarity) @ space), unit(x @ space)
+    got = model.cosines([t.encode() for t in texts])
+    assert np.abs(got - latent @ known.T).max() < 2e-3  # components are rounded to 1/4000
+    steps = model.project([quality_model.terms(t.encode()) for t in texts]).astype(int) @ model.vectors.astype(int).T
+    assert (got == (steps / quality_model.STEPS**2).astype(np.float32)).all()  # exact in any block
+    assert (model.cosines([texts[7].encode()]) == got[7]).all()
+    for cosines, score in zip(got.tolist(), model.score([t.encode() for t in texts]), strict=True):
+        near = sorted(range(len(cosines)), key=lambda j: (-cosines[j], j))[: quality_model.NEIGHBOURS]
+        weights = [max(cosines[j], 1e-6) ** quality_model.SHARPNESS for j in near]
+        assert score == pytest.approx(sum(w * model.labels[j] for w, j in zip(weights, near, strict=True)) / sum(weights), abs=1e-5)
+
+
+def test_nearest_settles_ties_by_place():
+    cosines = np.array([[0.5, 0.9, 0.5, 0.5, 0.1], [0.2] * 5, [0.1, 0.2, 0.3, 0.4, 0.5]])
+    assert quality_model.nearest(cosines, 2).tolist() == [[0, 1], [0, 1], [3, 4]]
+    assert quality_model.nearest(cosines, 5).tolist() == [[0, 1, 2, 3, 4]] * 3
+
+
+def test_sample_bounds_documents(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids[:6]], "doc_id bigint, quality int")
+    texts = [(ids[0], "the same text")] * 500 + [(i, text_of(30, i)) for i in ids[1:6]]
+    fit = lambda t, y, n: quality_model.fit(spark.createDataFrame(t, "doc_id bigint, text string"), y, sample=n)
+    assert len(fit(texts, labels, 10).labels) == 6  # rows that repeat are one
+    assert len(fit(texts + [(ids[0], f"version {i}") for i in range(50)], labels, 10).labels) == 10  # versions count each
+    absent = labels.unionByName(spark.range(1000, 21000).selectExpr("id AS doc_id", "1 AS quality"))
+    assert len(fit(texts, absent, 10).labels) == 6  # labels without a document take no place
+    assert fit([], labels, 10) is None
+
+
 # --- 2 ---------------------------------------------------------------------------------------
 
 
