@@ -15,7 +15,7 @@ from metforge.functions.physics import nan_to_null
 from metforge.operators import projection
 from metforge.operators.skew import lookup_join
 from metforge.session import materialize
-from metforge.sources import sinks
+from metforge.sources import collections, sinks
 from metforge.sources.sinks import site_bucket
 
 
@@ -123,17 +123,13 @@ def geometries(features: DataFrame, id_field: str) -> DataFrame:
 def geojson(spark: SparkSession, path: str, id_field: str = "gid", lines: bool = True) -> DataFrame:
     """Geometries of GeoJSON files.
 
-    ``lines`` expects one feature per line, which splits over tasks; otherwise each file is
-    one feature collection.
+    ``lines`` expects one feature per line; otherwise each file is one feature collection.  Both split over tasks
+    at any byte.
     """
     if lines:
         return geometries(spark.read.schema(FEATURE).json(path), id_field)
-    whole = spark.read.option("multiLine", True).schema(f"type string, features array<struct<{_as_struct(FEATURE)}>>").json(path)
-    return geometries(whole.select(F.inline("features")), id_field)
-
-
-def _as_struct(ddl: str) -> str:
-    return ", ".join(f"{f.name}:{f.dataType.simpleString()}" for f in T._parse_datatype_string(ddl).fields)
+    parsed = collections.feature_objects(spark, path).select(F.from_json("value", FEATURE).alias("f")).select("f.*")
+    return geometries(parsed.where("type = 'Feature'"), id_field)
 
 
 def raster_series(spark: SparkSession, path: str, start: str, end: str, bands: Sequence[str]) -> DataFrame:

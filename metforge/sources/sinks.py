@@ -124,6 +124,15 @@ def features(df: DataFrame, path: str, properties: Sequence[str], file_format: s
         raise ValueError(f"unsupported file format {file_format!r}; choose CSV or GeoJSON")
 
 
+def feature_collection(df: DataFrame, path: str, properties: Sequence[str]) -> None:
+    """All features as one document in one file, which one task writes row by row."""
+    line = lambda part, value: df.sparkSession.range(1).select(F.lit(part).alias("part"), F.lit(0).cast("bigint").alias("no"), F.lit(value).alias("value"))
+    body = feature_text(df, properties).coalesce(1).select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("no"), "value")
+    body = body.withColumn("value", F.concat(F.when(F.col("no") > 0, ",").otherwise(""), "value"))
+    rows = line(0, '{"type":"FeatureCollection","features":[').unionByName(body).unionByName(line(2, "]}"))
+    rows.coalesce(1).sortWithinPartitions("part", "no").select("value").write.mode("overwrite").text(path)
+
+
 def stats(df: DataFrame, path: str) -> None:
     """Statistics with a row per variable, as :func:`metforge.sources.readers.reference_stats` reads them."""
     df.select("variable", "mean", "min", "max").write.mode("overwrite").option("header", True).csv(path)

@@ -229,16 +229,11 @@ def zonal_csv_export(spark, sf):
     return spark.read.schema("gid string, date string, value double, batch string").option("header", True).csv(path)
 
 
-@query(
-    """SELECT gid, 'Polygon' AS geom_type, 5 AS vertices, round(2 * h * h, 6) AS area, round(cx, 6) AS x, round(cy, 6) AS y FROM zones""",
-    ("zones",),
-)
-def geojson_features(spark, sf):
-    path = scratch_path(spark, "features")
-    # rings are written clockwise and must come back oriented
-    turned = views.diamonds(spark, sf).withColumn("rings", F.transform("rings", F.reverse))
-    sinks.features(turned, path, ["gid"])
-    g = readers.geojson(spark, path, "gid").withColumn("edges", geo.edges(F.col("rings")))
+FEATURES = "SELECT gid, 'Polygon' AS geom_type, 5 AS vertices, round(2 * h * h, 6) AS area, round(cx, 6) AS x, round(cy, 6) AS y FROM zones"
+
+
+def _measured(features):
+    g = features.withColumn("edges", geo.edges(F.col("rings")))
     centre = geo.centroid(F.col("edges"))
     return g.select(
         "gid",
@@ -250,6 +245,26 @@ def geojson_features(spark, sf):
     )
 
 
+@query(FEATURES, ("zones",))
+def geojson_features(spark, sf):
+    path = scratch_path(spark, "features")
+    # rings are written clockwise and must come back oriented
+    turned = views.diamonds(spark, sf).withColumn("rings", F.transform("rings", F.reverse))
+    sinks.features(turned, path, ["gid"])
+    return _measured(readers.geojson(spark, path, "gid"))
+
+
+@query(f"SELECT *, 'a \"{{' || gid || '}}\" \\ ]' AS note FROM ({FEATURES})", ("zones",))
+def geojson_collection(spark, sf):
+    """One document in one file, read by several tasks; a property holds braces and quotes."""
+    path = scratch_path(spark, "collection")
+    zones = views.diamonds(spark, sf).withColumn("note", F.concat(F.lit('a "{'), "gid", F.lit('}" \\ ]')))
+    sinks.feature_collection(zones, path, ["gid", "note"])
+    found = _measured(readers.geojson(spark, path, "gid", lines=False))
+    notes = readers.geojson(spark, path, "note", lines=False).select(F.col("gid").alias("note"), F.regexp_extract("gid", "[{](.*)[}]", 1).alias("gid"))
+    return found.join(notes, "gid")
+
+
 @query(
     """SELECT printf('%04d-%02d-%02d %02d:%02d:%02d', year, month, day, second // 3600, (second % 3600) // 60, second % 60) AS date,
  lon, lat, round(u.value, 6) AS value, u.var, split_part(split_part(path, '/', -1), '_', 2) AS model, split_part(split_part(path, '/', -1), '_', 3) AS ssp

@@ -105,6 +105,30 @@ def test_area_centroid_with_hole_and_multipolygon(spark):
     assert table["m"]["method"] == "sampled across provided multipolygon"
 
 
+@pytest.mark.parametrize("size", [37, 200, 1 << 20])
+def test_collections_split_anywhere(spark, tmp_path, size):
+    """Blocks of few bytes: cuts fall into strings, escapes, characters and braces, and features span many blocks."""
+    notes = ['a "quoted" {brace}', "}{", "\\", 'end\\"', "é🙂 } {", "", '"', "{\"type\": \"Feature\"}"]
+    collection = {
+        "type": "FeatureCollection", "name": 'odd "name" {', "crs": {"type": "name", "properties": {"name": "urn:{x}"}},
+        "features": [
+            {"type": "Feature", "properties": {"gid": f"{i}{n}", "inner": {"deep": {"er": n}}}, "geometry": {"type": "Point", "coordinates": [i, 0.5]}}
+            for i, n in enumerate(notes)
+        ],
+        "bbox": [0, 0, 9, 9],
+    }
+    for k, indent in enumerate((None, 2)):
+        (tmp_path / f"c{k}.json").write_text(json.dumps(collection, indent=indent, ensure_ascii=k == 0) + "\n" * k)
+    (tmp_path / "empty.json").write_text('{"type": "FeatureCollection", "features": []}')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = [(r.gid, r.rings[0][0].x) for r in readers.geojson(spark, str(tmp_path), lines=False).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(got) == sorted([(f"{i}{n}", float(i)) for i, n in enumerate(notes)] * 2)
+
+
 def test_geojson_round_trip_and_errors(spark, tmp_path):
     g = features(
         spark,
