@@ -79,11 +79,12 @@ def _rules(name: str) -> str:
 def _group(keys: str) -> str:
     by = f"{keys}, m" if keys else "m"
     return f"""
-  SELECT {by}, any_value(rows) AS rows, any_value(v50 + {quality_rules.SPREAD} * (v75 - v50) + slack) AS fence FROM (
-    SELECT *, CASE WHEN b50 <= -10000 THEN 0.0 ELSE 2 * pow({quality_rules.BASE}, b50) / (1 + {quality_rules.BASE}) END AS v50,
+  SELECT {by}, any_value(rows) AS rows, any_value(v50 + {quality_rules.SPREAD} * least(v75 - v50, {quality_rules.SKEW} * (v50 - v25)) + slack) AS fence FROM (
+    SELECT *, CASE WHEN b25 <= -10000 THEN 0.0 ELSE 2 * pow({quality_rules.BASE}, b25) / (1 + {quality_rules.BASE}) END AS v25,
+      CASE WHEN b50 <= -10000 THEN 0.0 ELSE 2 * pow({quality_rules.BASE}, b50) / (1 + {quality_rules.BASE}) END AS v50,
       CASE WHEN b75 <= -10000 THEN 0.0 ELSE 2 * pow({quality_rules.BASE}, b75) / (1 + {quality_rules.BASE}) END AS v75
     FROM (
-      SELECT {by}, slack, any_value(rows) AS rows, min(bin) FILTER (upto >= rows * 0.5) AS b50, min(bin) FILTER (upto >= rows * 0.75) AS b75
+      SELECT {by}, slack, any_value(rows) AS rows, min(bin) FILTER (upto >= rows * 0.25) AS b25, min(bin) FILTER (upto >= rows * 0.5) AS b50, min(bin) FILTER (upto >= rows * 0.75) AS b75
       FROM (
         SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {by}) AS rows
         FROM (SELECT {by}, bin, slack, count(*) AS n FROM k GROUP BY {by}, bin, slack)

@@ -2,7 +2,8 @@
 
 Patterns give the base spans.  Longer opaque runs (``opaque``) are candidates as well.  Every
 candidate's hash is aggregated by distinct repositories and owners: a value that several owners
-have is a copied example, one that few have is owner-specific and looks live.  Opaque runs become spans
+have, or that lies in many repositories, is a copied example; one that few hold in few places is
+owner-specific and looks live.  Opaque runs become spans
 only if they are owner-specific; base spans always stay, and are counted by class.
 """
 
@@ -28,6 +29,7 @@ KINDS = {
 }
 ASSIGN_LENGTH = 6
 EXAMPLE_OWNERS = 3  # a value that so many owners have is a copied example
+EXAMPLE_REPOSITORIES = 10  # and so is one in so many repositories, whoever owns them
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
@@ -64,7 +66,7 @@ def ownership(candidates: DataFrame) -> DataFrame:
     pairs = candidates.select("hash", "repository", "owner").distinct()
     return pairs.groupBy("hash").agg(
         F.countDistinct("repository").alias("repositories"), F.countDistinct("owner").alias("owners")
-    ).withColumn("example", F.col("owners") >= EXAMPLE_OWNERS)
+    ).withColumn("example", (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES))
 
 
 def _text_of(spans: Column) -> Column:
@@ -72,23 +74,26 @@ def _text_of(spans: Column) -> Column:
 
 
 def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repository: str = "doc_id", owner: str = "source") -> DataFrame:
-    """One row per input row: ``doc_id``, and ``spans``, an array of ``start, kind_order, kind, end, base, example``.
+    """One row per input row: ``doc_id``, and ``spans``, an array of ``start, kind_order, kind, end, base,
+    example, repositories, owners``.
 
     ``repository`` and ``owner`` name the columns counted; null ones count for nothing.  A null or
-    empty text has no spans.  Rows that repeat an id and text get the same spans.
+    empty text has no spans.  Rows that repeat an id and text get the same spans.  Kinds that start at
+    one place (a tie) are in their fixed order.  An empty table gives no rows; columns that are not
+    named are not looked at, so their names may clash.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("version"), F.col(repository).alias("repository"), F.col(owner).alias("owner"), body.alias("text"))
     found = stored(_candidates(rows).withColumn("hash", F.sha2("value", 256)).drop("value"), "secret-candidates")
-    known = stored(ownership(found).select("hash", "example"), "secret-owners")
-    rated = lookup_join(found.where("copy = 1"), known, "hash")
+    known = stored(ownership(found), "secret-owners")
+    rated = lookup_join(found.where("copy = 1").drop("repository", "owner"), known, "hash")
     base = F.col("kind") != "opaque"
     around = W.partitionBy("doc_id", "version").orderBy("start", "kind_order")
     earlier = F.max(F.when(base, F.col("end"))).over(around.rowsBetween(W.unboundedPreceding, -1))
     later = F.min(F.when(base, F.col("start"))).over(around.rowsBetween(1, W.unboundedFollowing))
     apart = F.coalesce(earlier <= F.col("start"), F.lit(True)) & F.coalesce(later >= F.col("end"), F.lit(True))
     spans = rated.withColumn("apart", apart).where(base | (F.col("apart") & ~F.col("example")))
-    entry = F.struct("start", "kind_order", "kind", "end", base.alias("base"), "example")
+    entry = F.struct("start", "kind_order", "kind", "end", base.alias("base"), "example", "repositories", "owners")
     made = spans.groupBy(F.col("doc_id").alias("id"), F.col("version").alias("ver")).agg(F.array_sort(F.collect_list(entry)).alias("spans"))
     keys = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("version"))
     out = keys.join(made, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("version") == F.col("ver")), "left")
@@ -108,6 +113,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(_is_kind(k)).alias(f"n_{k}") for k in ("assign", "access", "hex", "opaque")],
         F.sha2(_text_of(base), 256).alias("base_sha256"), _text_of(F.col("spans")).alias("spans"),
         count(lambda s: ~s["example"]).alias("n_live"), count(lambda s: s["example"]).alias("n_example"),
+        *[F.coalesce(F.array_max(F.col(f"spans.{c}")), F.lit(0).cast("bigint")).alias(f"max_{c}") for c in ("repositories", "owners")],
     )
 
 
@@ -135,9 +141,12 @@ c AS (
   WHERE CASE kind WHEN 'assign' THEN length(v) >= {ASSIGN_LENGTH}
     WHEN 'opaque' THEN regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') ELSE true END
 ),
-o AS (SELECT v, count(DISTINCT source) >= {EXAMPLE_OWNERS} AS example FROM c GROUP BY v),
+o AS (
+  SELECT *, owners >= {EXAMPLE_OWNERS} OR repositories >= {EXAMPLE_REPOSITORIES} AS example
+  FROM (SELECT v, count(DISTINCT source) AS owners, count(DISTINCT doc_id) AS repositories FROM c GROUP BY v)
+),
 z AS (
-  SELECT c.*, o.example, kind <> 'opaque' OR (NOT example AND NOT EXISTS (
+  SELECT c.*, o.example, o.owners, o.repositories, kind <> 'opaque' OR (NOT example AND NOT EXISTS (
     SELECT 1 FROM c AS b WHERE b.doc_id = c.doc_id AND b.kind <> 'opaque' AND b.s < c.e AND c.s < b.e)) AS stays
   FROM c JOIN o ON o.v = c.v
 ),
@@ -146,12 +155,14 @@ a AS (
     count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'opaque') AS n_opaque,
     string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ko) FILTER (kind <> 'opaque') AS base,
     string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ko) AS spans,
-    count(*) FILTER (NOT example) AS n_live, count(*) FILTER (example) AS n_example
+    count(*) FILTER (NOT example) AS n_live, count(*) FILTER (example) AS n_example,
+    max(repositories) AS max_repositories, max(owners) AS max_owners
   FROM z WHERE stays GROUP BY doc_id
 )
 SELECT d.doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access, COALESCE(n_hex, 0) AS n_hex,
   COALESCE(n_opaque, 0) AS n_opaque, sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans,
-  COALESCE(n_live, 0) AS n_live, COALESCE(n_example, 0) AS n_example
+  COALESCE(n_live, 0) AS n_live, COALESCE(n_example, 0) AS n_example,
+  COALESCE(max_repositories, 0) AS max_repositories, COALESCE(max_owners, 0) AS max_owners
 FROM d LEFT JOIN a ON a.doc_id = d.doc_id
 """
 

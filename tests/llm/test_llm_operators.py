@@ -8,6 +8,7 @@ import re
 import sys
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -254,6 +255,17 @@ def test_values_of_many_owners_are_examples(spark):
     assert got[0][0] == [] and len(got[8][0]) == len(got[9][0]) == 1
 
 
+def test_values_in_many_repositories_are_examples(spark):
+    """One owner, so only the number of repositories tells the copied value from the live one; base spans stay either way."""
+    copied, live = "Copied7Value9Copied7Value9", "Owner5Specific6Value7xyz"
+    rows = [(i, f"{copied} token=abc{copied}", "o") for i in range(secrets.EXAMPLE_REPOSITORIES)] + [(100 + i, live, "o") for i in range(secrets.EXAMPLE_REPOSITORIES - 1)]
+    got = by_id(secrets.secret_spans(spark.createDataFrame(rows, "doc_id bigint, text string, source string")), "spans")
+    for i, _, _ in rows:
+        (s,) = got[i][0]
+        assert (s.kind, s.example, s.owners) == (("assign", True, 1) if i < 100 else ("opaque", False, 1))
+        assert s.repositories == (secrets.EXAMPLE_REPOSITORIES if i < 100 else secrets.EXAMPLE_REPOSITORIES - 1)
+
+
 # --- 4 ---------------------------------------------------------------------------------------
 
 
@@ -444,6 +456,23 @@ def test_fences_of_a_source_with_much_junk(spark, junk):
     assert {i for i, (k,) in out.items() if not k} == {i for i in range(300) if i % 100 < junk}
 
 
+def test_fences_beside_sql_with_much_junk(spark, tmp_path):
+    """A group with 40 % of junk, one whose texts all hold symbols (its fence is higher), and groups too small for a sketch."""
+    rows = [(i, " ".join(x.upper() for x in words(60, i)) if i % 10 < 4 else text_of(30 + i % 60, i), "en", "junk") for i in range(200)]
+    rows += [(1000 + i, " ".join(x + "#" * (1 + i % 3) for x in words(60, i)), "en", "code") for i in range(150)]
+    rows += [(2000 + i, text_of(40, i) if i % 7 else None, ["de", None][i % 2], "few") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in queries.QUERIES["op7_quality_rules"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == set(con.execute(queries.ORACLES["op7_quality_rules"]).fetchall())
+    kept = {r[0] for r in got if r[-1]}
+    assert kept == {i for i in range(200) if i % 10 >= 4} | set(range(1000, 1150)) | {2000 + i for i in range(30) if i % 7}
+    limits = {r.source: r.fence_symbols for r in quality_rules.fences(quality_rules.sketches(quality_rules.measured(df))).collect()}
+    assert limits["code"] > 3 * limits["junk"]
+
+
 # --- 8 ---------------------------------------------------------------------------------------
 
 
