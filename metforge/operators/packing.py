@@ -90,6 +90,20 @@ def dense_index(df: DataFrame, time: str = "time", site: str = "gid", lat: str =
     return lookup_join(lookup_join(df, times, time), places, site)
 
 
+def dense_axes(
+    df: DataFrame, places: DataFrame, group: str, time: str = "time", site: str = "gid", lat: str = "lat", lon: str = "lon"
+) -> tuple[DataFrame, DataFrame]:
+    """``(group, time, t_idx)`` and ``(group, site, n_idx)``: the stamps and sites of each group, 0-based, sites by lat, lon, id."""
+    times = group_row_number(df.select(group, time).distinct(), [group], [time], "t_idx")
+    at = places.select(F.col(site).cast("string").alias(site), lat, lon)
+    located = lookup_join(df.select(group, site).distinct(), at, site, "left")
+    sites = group_row_number(located, [group], [lat, lon, site], "n_idx")
+    return (
+        stored(times.select(group, time, (F.col("t_idx") - 1).alias("t_idx")), "grid-times"),
+        stored(sites.select(group, site, (F.col("n_idx") - 1).alias("n_idx")), "grid-sites"),
+    )
+
+
 def dense_cells(
     df: DataFrame, places: DataFrame, group: str, time: str = "time", site: str = "gid", lat: str = "lat", lon: str = "lon"
 ) -> DataFrame:
@@ -98,14 +112,13 @@ def dense_cells(
     ``df`` has unique (group, site, time); the columns of a cell without a row are null.  The axes
     are joined on the group, so the pairs formed are the cells of the result and no others.
     """
-    times = group_row_number(df.select(group, time).distinct(), [group], [time], "t_idx")
-    at = places.select(F.col(site).cast("string").alias(site), lat, lon)
-    located = lookup_join(df.select(group, site).distinct(), at, site, "left")
-    sites = group_row_number(located, [group], [lat, lon, site], "n_idx")
-    axes = lookup_join(
-        times.select(group, time, (F.col("t_idx") - 1).alias("t_idx")), stored(sites.select(group, site, (F.col("n_idx") - 1).alias("n_idx")), "grid-sites"), group
-    )
-    return axes.join(df, [group, site, time], "left")
+    times, sites = dense_axes(df, places, group, time, site, lat, lon)
+    return lookup_join(times, sites, group).join(df, [group, site, time], "left")
+
+
+def gathered_cells(df: DataFrame, times: DataFrame, sites: DataFrame, group: str, time: str = "time", site: str = "gid") -> DataFrame:
+    """The rows of ``df`` at their places on the axes of :func:`dense_axes`; cells without a row are not formed."""
+    return lookup_join(lookup_join(df, times, [group, time]), sites, [group, site])
 
 
 def dense_coverage(df: DataFrame, time: str = "time", site: str = "gid") -> DataFrame:

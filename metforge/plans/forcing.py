@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metforge import dims
@@ -99,10 +99,36 @@ def packed_dataset(
     ``site`` makes one data set per site and variable, ``grid`` one per variable and zone
     over all locations with data: every stamp of the zone's common axis at every site, placed by
     ``t_idx`` and ``n_idx`` (sites by lat, lon, id).  ``locations`` carries ``gid, lat, lon, zone``.
-    Cells and stamps without data hold the fill value.
+    Cells and stamps without data hold the fill value.  :func:`gathered_dataset` has the same grids without their fill values.
     """
     if layout not in ("site", "grid"):
         raise ValueError("layout must be 'site' or 'grid'")
+    on_axis, by, params = _on_axis(ready, locations, options, layout)
+    cells, place_in = on_axis, []
+    if layout == "grid":
+        cells, place_in = packing.dense_cells(on_axis, locations.select("gid", "lat", "lon"), "zone"), ["t_idx", "n_idx"]
+    return _packed_values(cells, params, by, options, place_in), _packed_metadata(params, by, first_year, last_year, options)
+
+
+def gathered_dataset(
+    ready: DataFrame, locations: DataFrame, first_year: int, last_year: int, options: ForcingOptions = ForcingOptions()
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``(values, metadata, times, sites)``: the data sets of the ``grid`` layout, compressed by gathering.
+
+    ``values`` has the cells that hold a value, at their ``t_idx`` and ``n_idx``; every other pair of a stamp in
+    ``times`` (``zone, time, dtime, t_idx``) and a site in ``sites`` (``zone, gid, n_idx``) of a zone holds the fill value.  Nothing
+    is lost, and the rows are those of the data, not stamps times sites.
+    """
+    on_axis, by, params = _on_axis(ready, locations, options, "grid")
+    times, places = packing.dense_axes(on_axis, locations.select("gid", "lat", "lon"), "zone")
+    cells = packing.gathered_cells(on_axis, times, places, "zone")
+    values = _packed_values(cells, params, by, options, ["t_idx", "n_idx"]).where(F.col("packed") != codec.FILL)
+    dated = lookup_join(times, params.select("zone", "first"), "zone").withColumn("dtime", _stamps(options)["dtime"])
+    return values, _packed_metadata(params, by, first_year, last_year, options), dated.select("zone", "time", "dtime", "t_idx"), places
+
+
+def _on_axis(ready: DataFrame, locations: DataFrame, options: ForcingOptions, layout: str) -> tuple[DataFrame, list[str], DataFrame]:
+    """Unique rows on the axis of the data sets, the keys of a data set, and the packing parameters by these."""
     variables = projection.profile_variables(options.profile)
     hours = options.resolution_hours
     place = locations.select(F.col("gid").cast("string").alias("gid"), F.col("zone").cast("int").alias("zone"))
@@ -115,18 +141,24 @@ def packed_dataset(
     # the one heavy shuffle; one pass over the result gives origins and ranges, another packs
     on_axis = stored(on_axis, "on-axis")
     by = keys if layout == "site" else ["zone"]
-    params = materialize(packing.wide_params(on_axis, by, variables, "time"))
-    stamps = timeaxis.dtime_columns(
-        F.col("time"), F.col("first"), options.dtime_units, options.calendar, options.dtime_mode
-    )
-    cells, place_in = on_axis, []
-    if layout == "grid":
-        cells, place_in = packing.dense_cells(on_axis, locations.select("gid", "lat", "lon"), "zone"), ["t_idx", "n_idx"]
-    packed = packing.pack_wide(cells, params, by, variables).withColumn("dtime", stamps["dtime"])
+    return on_axis, by, materialize(packing.wide_params(on_axis, by, variables, "time"))
+
+
+def _stamps(options: ForcingOptions) -> dict[str, Column]:
+    return timeaxis.dtime_columns(F.col("time"), F.col("first"), options.dtime_units, options.calendar, options.dtime_mode)
+
+
+def _packed_values(cells: DataFrame, params: DataFrame, by: list[str], options: ForcingOptions, place_in: list[str]) -> DataFrame:
+    variables = projection.profile_variables(options.profile)
+    packed = packing.pack_wide(cells, params, by, variables).withColumn("dtime", _stamps(options)["dtime"])
     kept = ["gid", "zone", "time", "dtime", *place_in]
     values = projection.melt(packed.select(*kept, *variables), kept, variables, value="packed")
+    return values.select("gid", "variable", "zone", "time", "dtime", *place_in, "packed")
 
-    meta = packing.with_attributes(packing.long_params(params, by, variables)).select(
+
+def _packed_metadata(params: DataFrame, by: list[str], first_year: int, last_year: int, options: ForcingOptions) -> DataFrame:
+    variables = projection.profile_variables(options.profile)
+    return packing.with_attributes(packing.long_params(params, by, variables)).select(
         *by,
         "variable",
         labels.dataset_name(F.col("variable"), F.lit(first_year), F.lit(last_year), F.col("zone")).alias("dataset"),
@@ -138,9 +170,8 @@ def packed_dataset(
         "long_name",
         F.lit("time-dependent").alias("mode"),
         F.lit(options.calendar).alias("calendar"),
-        stamps["dtime_units"].alias("dtime_units"),
+        _stamps(options)["dtime_units"].alias("dtime_units"),
     )
-    return values.select("gid", "variable", "zone", "time", "dtime", *place_in, "packed"), meta
 
 
 def site_table(locations: DataFrame) -> DataFrame:

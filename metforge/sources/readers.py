@@ -179,3 +179,12 @@ def site_store(spark: SparkSession, path: str, gids: Sequence[str] | None = None
         buckets = [site_bucket(F.lit(str(g)), sinks.SITE_BUCKETS) for g in gids]
         df = df.where(F.col("bucket").isin(*buckets) & F.col("gid").isin([str(g) for g in gids])) if buckets else df.limit(0)
     return df.select(*[c for c in df.columns if c not in ("bucket", "batch")])
+
+
+def gathered_grid(spark: SparkSession, path: str) -> DataFrame:
+    """Every cell of the data sets of :func:`metforge.sources.sinks.gathered_dataset`, as the ``grid`` layout has them."""
+    values, meta, times, sites = (spark.read.parquet(f"{path}/{name}") for name in ("values", "metadata", "times", "sites"))
+    cells = lookup_join(lookup_join(times, meta.select("variable", "zone", "fill"), "zone"), sites, "zone")
+    held = values.select("variable", "zone", "t_idx", "n_idx", "packed")
+    full = cells.join(held, ["variable", "zone", "t_idx", "n_idx"], "left")
+    return full.select("gid", "variable", "zone", "time", "dtime", "t_idx", "n_idx", F.coalesce("packed", "fill").alias("packed"))

@@ -55,6 +55,17 @@ def packed_dataset(values: DataFrame, metadata: DataFrame, path: str, layout: st
     metadata.write.mode("overwrite").parquet(f"{path}/metadata")
 
 
+def gathered_dataset(values: DataFrame, metadata: DataFrame, times: DataFrame, sites: DataFrame, path: str) -> None:
+    """``<path>/values``, one folder per variable and zone, with ``metadata``, ``times`` and ``sites`` beside it.
+
+    Rows are melted where they are read, so nothing is shuffled; each task writes its part of every data set.
+    """
+    columns = ["variable", "zone"]
+    values.sortWithinPartitions(*columns, "time", "gid").write.mode("overwrite").partitionBy(*columns).parquet(f"{path}/values")
+    for name, table in (("metadata", metadata), ("times", times), ("sites", sites)):
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
 def zone_mapping(df: DataFrame, path: str, per_site: bool = False) -> None:
     """Tab-separated without header; per site one folder per ``gid``."""
     writer = df.write.mode("overwrite").option("sep", "\t").option("header", False)

@@ -257,3 +257,20 @@ def test_band_table_and_ids(spark):
     d = spark.createDataFrame([(7, "2000-01-01 05:30", 1.0, 2.0)], "pid int, t string, a double, b double")
     got = projection.band_table(projection.with_gid(d), "gid", "t", ["b"]).first()
     assert tuple(got) == ("7", "2000-01-01 05:30", 2.0)
+
+
+def test_gathered_grid_is_the_dense_one_without_its_fill_values(spark, places, tmp_path):
+    rows = [("1", "2001-01-01 00:00", 280.0), ("1", "2001-01-01 01:00", 281.0), ("2", "2001-01-02 12:00", 290.0), ("2", "2001-01-02 13:00", None)]
+    schema = "gid string, date string, " + ", ".join(f"{b} double" for b in dims.REQUIRED_BANDS)
+    hourly = spark.createDataFrame([(*r, 3.0, 4.0, 1.0, 1.0, 1.0, 1e5, 275.0) for r in rows], schema)
+    located = sites.with_zones(places, 1)
+    ready = forcing.model_ready(hourly, located, 2001, 2001)
+    dense, _ = forcing.packed_dataset(ready, located, 2001, 2001, layout="grid")
+    values, meta, times, at = forcing.gathered_dataset(ready, located, 2001, 2001)
+    path = str(tmp_path / "out")
+    sinks.gathered_dataset(values, meta, times, at, path)
+    written = spark.read.parquet(f"{path}/values")
+    assert written.where("variable = 'TBOT'").count() == 3 and written.where("packed = -32767").count() == 0
+    back = readers.gathered_grid(spark, path)
+    assert sorted(map(tuple, back.select(*dense.columns).collect())) == sorted(map(tuple, dense.collect()))
+    assert back.where("variable = 'TBOT'").count() == 4 * 2
