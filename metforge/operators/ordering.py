@@ -193,18 +193,20 @@ def nearest_values(points: DataFrame, axes: dict[str, DataFrame], names: dict[st
             parts.append(table.select(F.lit(column).alias("_name"), "_c", value.alias("_axis")))
     merged = reduce(DataFrame.unionByName, parts)
     rows = range_sorted(merged, ["_name", "_c"])
-    in_part = W.partitionBy(PART, "_name").orderBy("_c")
-    across = W.partitionBy("_name").orderBy(PART)
+    # frames that end at the current row, in either direction: those that begin there are computed anew for each row
+    in_part = W.partitionBy(PART, "_name")
+    across = W.partitionBy("_name")
+    upto, before = (W.unboundedPreceding, W.currentRow), (W.unboundedPreceding, -1)
     # one row per axis and partition
     edges = rows.groupBy("_name", PART).agg(F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi")).select(
         "_name",
         PART,
-        F.max("_hi").over(across.rowsBetween(W.unboundedPreceding, -1)).alias("_hi_before"),
-        F.min("_lo").over(across.rowsBetween(1, W.unboundedFollowing)).alias("_lo_after"),
+        F.max("_hi").over(across.orderBy(PART).rowsBetween(*before)).alias("_hi_before"),
+        F.min("_lo").over(across.orderBy(F.desc(PART)).rowsBetween(*before)).alias("_lo_after"),
     )
     # range frames put equal coordinates in one peer group, so an exact hit is its own neighbour
-    below = F.max("_axis").over(in_part.rangeBetween(W.unboundedPreceding, W.currentRow))
-    above = F.min("_axis").over(in_part.rangeBetween(W.currentRow, W.unboundedFollowing))
+    below = F.max("_axis").over(in_part.orderBy("_c").rangeBetween(*upto))
+    above = F.min("_axis").over(in_part.orderBy(F.desc("_c")).rangeBetween(*upto))
     snapped = (
         rows.withColumn("_below", below)
         .withColumn("_above", above)

@@ -138,3 +138,12 @@ def test_lookup_join_picks_by_size(spark):
     assert wide.count() == fact.where("k = 'hot'").count()
     with pytest.raises(ValueError):
         skew.lookup_join(fact, dim, "k", "right")
+
+
+def test_nearest_has_no_frame_that_is_computed_anew_for_each_row(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(ordering, "materialize", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    points = spark.createDataFrame([(0.4,), (7.6,), (-3.0,)], ["c"])
+    near = ordering.nearest_values(points, {"c": spark.createDataFrame([(0.0,), (1.0,), (8.0,)], ["m"])}, {"c": "n"})
+    assert {r["c"]: r["n"] for r in near.collect()} == {0.4: 0.0, 7.6: 8.0, -3.0: 0.0}
+    assert "windowspecdefinition" in plans[0].lower() and "unboundedfollowing" not in plans[0].lower()
