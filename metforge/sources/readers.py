@@ -43,18 +43,20 @@ def csv_by_header(spark: SparkSession, path: str, headers: DataFrame) -> DataFra
     """
     width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
     fields = ", ".join(f"c{i} string" for i in range(width))
-    cells = lambda c: F.array(*[F.from_csv(c, fields)[f"c{i}"] for i in range(width)])
-    named = headers.withColumn("names", cells(F.col("header")))
+    # a text is parsed once, by all columns: fields taken from from_csv itself would each parse it again
+    parsed = lambda df, c: df.withColumn("_c", F.from_csv(c, fields)).withColumn(c, F.array(*[F.col(f"_c.c{i}") for i in range(width)])).drop("_c")
+    named = parsed(headers.withColumn("names", F.col("header")), "names")
     places = named.select(F.posexplode("names").alias("place", "name")).where("name IS NOT NULL")
     # one row per column name
     names = [r["name"] for r in places.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()]
+    # where a file has each of the columns, found once per file
+    place = lambda name: F.nullif(F.array_position("names", F.lit(name)).cast("int"), F.lit(0))
+    layouts = materialize(named.select("file", "header", F.array(*[place(n) for n in names]).alias("at")))
     lines = _csv_files(spark.read).text(path).select("value", F.col("_metadata.file_path").alias("file"))
     # the header itself has no cells at all, so that no later cast meets its names
     line = F.when((F.col("value") != F.col("header")) & (F.trim("value") != ""), F.col("value"))
-    rows = lookup_join(lines, named, "file").withColumn("line", line).where("line IS NOT NULL")
-    rows = rows.select("names", cells(F.col("line")).alias("cells"))
-    place = lambda name: F.array_position("names", F.lit(name)).cast("int")
-    return rows.select(*[F.when(place(n) > 0, F.element_at("cells", place(n))).alias(n) for n in names])
+    rows = lookup_join(lines, layouts, "file").withColumn("cells", line).where("cells IS NOT NULL").select("at", "cells")
+    return parsed(rows, "cells").select(*[F.element_at("cells", F.col("at")[i]).alias(n) for i, n in enumerate(names)])
 
 
 def hourly_csv(spark: SparkSession, path: str, id_col: str | None = None) -> DataFrame:

@@ -274,3 +274,12 @@ def test_gathered_grid_is_the_dense_one_without_its_fill_values(spark, places, t
     back = readers.gathered_grid(spark, path)
     assert sorted(map(tuple, back.select(*dense.columns).collect())) == sorted(map(tuple, dense.collect()))
     assert back.where("variable = 'TBOT'").count() == 4 * 2
+
+
+def test_lines_of_mixed_files_are_parsed_once(spark, folder):
+    (folder / "c.csv").write_text("date,gid,other\n2000-01-01 00:00,7,5\n2000-01-01 01:00\n2000-01-01 02:00,8,6,9,9\n")
+    df = readers.hourly_csv(spark, str(folder))
+    got = {r["date"].hour: (r["gid"], r["other"]) for r in df.where("temperature_2m IS NULL").collect()}
+    assert got == {0: ("7", 5.0), 1: (None, None), 2: ("8", 6.0)}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
