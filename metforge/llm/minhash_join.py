@@ -211,11 +211,23 @@ def _candidates(nodes: DataFrame, met: DataFrame, parts: DataFrame) -> DataFrame
     kinds = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("count"), print_of.alias("bucket"))
     kinds = stored(kinds.where("low <> high").groupBy("bucket", "count").agg(F.min("key").alias("key")), "minhash-mixed")  # equal groups once
     rows = stored(lookup_join(rows, kinds, "key"), "minhash-unlike")
-    blocks = F.ceil(F.col("count") / TILE).cast("int")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("h"), blocks.cast("bigint")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    # a tile is a pair of blocks; narrow rows are copied, sketches join them afterwards
-    tiled = rows.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "h", "part")
+    # a link between two parts has a class outside the largest part of its group: these meet each other and all others
+    sizes = rows.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(F.max(F.struct("c", "part")).alias("top"), F.sum("c").alias("all"))
+    blocks = lambda c: F.ceil(c / TILE).cast("int")
+    sizes = stored(sizes.select("bucket", F.col("top.part").alias("largest"), blocks(F.col("all") - F.col("top.c")).alias("lefts"), blocks(F.col("top.c")).alias("rights")), "minhash-sizes")
+    rows = lookup_join(rows, sizes, "bucket").withColumn("outside", F.col("part") != F.col("largest"))
+    own = F.pmod(F.xxhash64("h"), F.when(F.col("outside"), F.col("lefts")).otherwise(F.col("rights")).cast("bigint")).cast("int")
+    rows = rows.withColumn("own", own)
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    tile = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    # tiles of two blocks outside; the blocks of the largest part follow those
+    among = F.transform(every("lefts"), lambda i: tile(F.least("own", i), F.greatest("own", i)))
+    across = F.transform(every("rights"), lambda i: tile(F.col("own"), F.col("lefts") + i))
+    inside = F.transform(every("lefts"), lambda i: tile(i, F.col("lefts") + F.col("own")))
+    single = F.col("lefts") + F.col("rights") == 2  # a small group is one tile
+    copies = F.when(single, F.array(tile(F.lit(0), F.lit(0)))).when(F.col("outside"), F.concat(among, across)).otherwise(inside)
+    # narrow rows are copied, sketches join them afterwards
+    tiled = rows.select("bucket", "h", "part", F.explode(copies).alias("t")).select("bucket", "t.x", "t.y", "h", "part")
     tiled = lookup_join(tiled, _sketches(nodes, rows).drop("id"), "h").select("bucket", "x", "y", "h", "part", "n", "sketch")
 
     def links(tile: pa.Table) -> list[tuple[int, int]]:
