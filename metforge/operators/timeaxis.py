@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from metforge import dims
 from metforge.functions import temporal
 from metforge.operators.ordering import next_in_time
-from metforge.operators.skew import lookup_join
+from metforge.operators.skew import dealt, lookup_join
 from metforge.session import materialize
 
 
@@ -156,12 +156,15 @@ def resample_pick(
     ``keys``), whose keys then share their bins.
 
     They are otherwise those of :func:`resample_mean`; a bin whose start was not observed has
-    nulls.  Both come out of one aggregate, without joining the axis to the rows.
+    nulls.  Rows are dealt by bin, so that the stamps of a bin and the bin itself are settled in the same task.
     """
-    single = unique_rows(drop_leap_days(df, time, calendar), keys, time, values, on_duplicate)
-    binned = _bin_start(single, keys if origin is None else origin, time, hours)
+    binned = _bin_start(drop_leap_days(df, time, calendar), keys if origin is None else origin, time, hours)
+    bins = [*keys, "_bin"]
+    if on_duplicate == "error":  # "lowest" may meet any number of rows of one stamp, and combines them before they are shuffled
+        binned = dealt(binned, bins)
+    single = unique_rows(binned, bins, time, values, on_duplicate)
     at_start = F.col(time) == F.col("_bin")
-    picked = binned.groupBy(*keys, F.col("_bin").alias("_start")).agg(
+    picked = single.groupBy(*keys, F.col("_bin").alias("_start")).agg(
         *[F.max(F.when(at_start, F.col(v))).alias(v) for v in values],
         *[F.count(v).alias(f"_n_{v}") for v in values],
     )

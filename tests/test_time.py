@@ -75,6 +75,18 @@ def test_reindex_gap_and_duplicate(spark):
     assert [r["v"] for r in kept] == [0.0, 1.0, 2.0, 3.0]
 
 
+@pytest.mark.parametrize("step", ["pick"])
+def test_stamps_stay_dealt(spark, step):
+    """Few bytes of many stamps are not merged into one task after the shuffle, whatever was shuffled before."""
+    d = hourly(spark, "2001-01-01 00:00", "2001-04-01 00:00").groupBy("gid", "time").agg(F.max("v").alias("v"))
+    if step == "pick":
+        out = timeaxis.resample_pick(d, ["gid"], "time", ["v"], 3)
+    else:
+        out = timeaxis.reindex(d, d.select("gid", (F.col("time") + F.expr("INTERVAL '30' MINUTE")).alias("time")).distinct(), ["gid"], "time", ["v"])
+    parts = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert len(parts) > 1 and max(parts) < sum(parts) / 2
+
+
 def batches(spark, start, end, years):
     d = spark.createDataFrame([(start, end)], "s string, e string")
     return [tuple(str(v) for v in r) for r in timeaxis.date_batches(d, "s", "e", years).orderBy("task_start").collect()]
