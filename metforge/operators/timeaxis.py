@@ -137,6 +137,9 @@ def reindex(
     df: DataFrame, axis: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], on_duplicate: str = "error"
 ) -> DataFrame:
     """Values at the stamps of ``axis``; a stamp without data has nulls."""
+    if on_duplicate == "error":  # "lowest" may meet any number of rows of one stamp, and combines them before they are shuffled
+        # time first: an earlier shuffle by keys and time, with its parts merged, would be taken for this one
+        df, axis = dealt(df, [time, *keys]), dealt(axis, [time, *keys])
     return axis.join(unique_rows(df, keys, time, values, on_duplicate), [*keys, time], "left")
 
 
@@ -160,7 +163,7 @@ def resample_pick(
     """
     binned = _bin_start(drop_leap_days(df, time, calendar), keys if origin is None else origin, time, hours)
     bins = [*keys, "_bin"]
-    if on_duplicate == "error":  # "lowest" may meet any number of rows of one stamp, and combines them before they are shuffled
+    if on_duplicate == "error":  # as in reindex
         binned = dealt(binned, bins)
     single = unique_rows(binned, bins, time, values, on_duplicate)
     at_start = F.col(time) == F.col("_bin")

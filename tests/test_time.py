@@ -75,7 +75,7 @@ def test_reindex_gap_and_duplicate(spark):
     assert [r["v"] for r in kept] == [0.0, 1.0, 2.0, 3.0]
 
 
-@pytest.mark.parametrize("step", ["pick"])
+@pytest.mark.parametrize("step", ["pick", "reindex"])
 def test_stamps_stay_dealt(spark, step):
     """Few bytes of many stamps are not merged into one task after the shuffle, whatever was shuffled before."""
     d = hourly(spark, "2001-01-01 00:00", "2001-04-01 00:00").groupBy("gid", "time").agg(F.max("v").alias("v"))
