@@ -127,6 +127,17 @@ def gathered_dataset(
     return values, _packed_metadata(params, by, first_year, last_year, options), dated.select("zone", "time", "dtime", "t_idx"), places
 
 
+def packed_columns(
+    ready: DataFrame, locations: DataFrame, first_year: int, last_year: int, options: ForcingOptions = ForcingOptions()
+) -> tuple[DataFrame, DataFrame]:
+    """``(values, metadata)``: the data sets of the ``site`` layout side by side.
+
+    A row is a stamp of a site, and a data set the column of its variable; stamps, offsets and ids are not repeated for each.
+    """
+    on_axis, by, params = _on_axis(ready, locations, options, "site")
+    return _packed_wide(on_axis, params, by, options, []), _packed_metadata(params, by, first_year, last_year, options)
+
+
 def _on_axis(ready: DataFrame, locations: DataFrame, options: ForcingOptions, layout: str) -> tuple[DataFrame, list[str], DataFrame]:
     """Unique rows on the axis of the data sets, the keys of a data set, and the packing parameters by these."""
     variables = projection.profile_variables(options.profile)
@@ -148,11 +159,15 @@ def _stamps(options: ForcingOptions) -> dict[str, Column]:
     return timeaxis.dtime_columns(F.col("time"), F.col("first"), options.dtime_units, options.calendar, options.dtime_mode)
 
 
-def _packed_values(cells: DataFrame, params: DataFrame, by: list[str], options: ForcingOptions, place_in: list[str]) -> DataFrame:
+def _packed_wide(cells: DataFrame, params: DataFrame, by: list[str], options: ForcingOptions, place_in: list[str]) -> DataFrame:
     variables = projection.profile_variables(options.profile)
     packed = packing.pack_wide(cells, params, by, variables).withColumn("dtime", _stamps(options)["dtime"])
-    kept = ["gid", "zone", "time", "dtime", *place_in]
-    values = projection.melt(packed.select(*kept, *variables), kept, variables, value="packed")
+    return packed.select("gid", "zone", "time", "dtime", *place_in, *variables)
+
+
+def _packed_values(cells: DataFrame, params: DataFrame, by: list[str], options: ForcingOptions, place_in: list[str]) -> DataFrame:
+    wide = _packed_wide(cells, params, by, options, place_in)
+    values = projection.melt(wide, ["gid", "zone", "time", "dtime", *place_in], projection.profile_variables(options.profile), value="packed")
     return values.select("gid", "variable", "zone", "time", "dtime", *place_in, "packed")
 
 

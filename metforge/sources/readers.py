@@ -183,6 +183,17 @@ def site_store(spark: SparkSession, path: str, gids: Sequence[str] | None = None
     return df.select(*[c for c in df.columns if c not in ("bucket", "batch")])
 
 
+def packed_columns(spark: SparkSession, path: str, variables: Sequence[str] | None = None) -> DataFrame:
+    """Values written by :func:`metforge.sources.sinks.packed_columns`, as the ``site`` layout has them: a row for each variable.
+
+    Only the columns of ``variables`` are read, if given.
+    """
+    wide, kept = spark.read.parquet(f"{path}/values"), ["gid", "zone", "time", "dtime"]
+    variables = [c for c in wide.columns if c not in (*kept, "bucket")] if variables is None else list(variables)
+    values = projection.melt(projection.strict_select(wide, [*kept, *variables]), kept, variables, value="packed")
+    return values.select("gid", "variable", "zone", "time", "dtime", "packed")
+
+
 def gathered_grid(spark: SparkSession, path: str) -> DataFrame:
     """Every cell of the data sets of :func:`metforge.sources.sinks.gathered_dataset`, as the ``grid`` layout has them."""
     values, meta, times, sites = (spark.read.parquet(f"{path}/{name}") for name in ("values", "metadata", "times", "sites"))

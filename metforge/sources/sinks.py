@@ -55,6 +55,12 @@ def packed_dataset(values: DataFrame, metadata: DataFrame, path: str, layout: st
     metadata.write.mode("overwrite").parquet(f"{path}/metadata")
 
 
+def packed_columns(values: DataFrame, metadata: DataFrame, path: str) -> None:
+    """``<path>/values``, a site store with one packed column for each variable, and ``<path>/metadata``."""
+    site_store(values, f"{path}/values")
+    metadata.write.mode("overwrite").parquet(f"{path}/metadata")
+
+
 def gathered_dataset(values: DataFrame, metadata: DataFrame, times: DataFrame, sites: DataFrame, path: str) -> None:
     """``<path>/values``, one folder per variable and zone, with ``metadata``, ``times`` and ``sites`` beside it.
 

@@ -92,6 +92,23 @@ def test_packed_dataset(spark, folder, places, tmp_path, layout, sets):
     assert last["dtime"] == pytest.approx(730 + 23 / 24)
 
 
+def test_packed_columns(spark, folder, places, tmp_path):
+    """A row is stored for each stamp of a site, not for each variable, and read back as in the site layout."""
+    located = sites.with_zones(places, 1)
+    ready = forcing.forcing_ready(readers.hourly_csv(spark, str(folder)), located)
+    values, meta = forcing.packed_dataset(ready, located, 2000, 2001)
+    wide, same = forcing.packed_columns(ready, located, 2000, 2001)
+    sinks.packed_columns(wide, same, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out/values")).count() == 8
+    back = readers.packed_columns(spark, str(tmp_path / "out"))
+    assert back.schema["packed"].dataType == values.schema["packed"].dataType
+    as_rows = lambda df: sorted(tuple(map(str, r)) for r in df.select("gid", "variable", "zone", "time", "dtime", "packed").collect())
+    assert as_rows(back) == as_rows(values) and len(as_rows(back)) == 8 * 7
+    assert as_rows(readers.packed_columns(spark, str(tmp_path / "out"), ["TBOT"])) == as_rows(values.where("variable = 'TBOT'"))
+    written = spark.read.parquet(str(tmp_path / "out/metadata"))
+    assert sorted(map(str, written.collect())) == sorted(map(str, meta.collect()))
+
+
 def test_coarse_axis_has_fill_values(spark, places):
     rows = [("1", f"2001-01-01 {h:02d}:00", 280.0 + h, 3.0, 4.0, 1.0, 1.0, 1.0, 1e5, 275.0) for h in range(1, 8)]
     hourly = spark.createDataFrame(rows, ["gid", "date", *dims.REQUIRED_BANDS])
